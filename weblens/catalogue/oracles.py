@@ -178,6 +178,7 @@ WHERE event_type <> 'signup' GROUP BY 1""",
     "uv_daily": """SELECT strftime(ts, '%Y-%m-%d') AS date, count(DISTINCT user_id) AS uv FROM events
 WHERE event_type <> 'error' GROUP BY 1""",
     "pv_uv_daily": _PV_UV,
+    "pv_uv_stamped": f"SELECT 0::BIGINT AS id, date, pv, uv, true AS stamped FROM ({_PV_UV})",
     "distinct_rows": """SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS date, user_id::VARCHAR AS guid
 FROM events WHERE event_type <> 'error'""",
     "video_access_topn": f"""WITH {_STATS}

@@ -312,6 +312,13 @@ def pv_uv_daily(spark, sf_dir):
     return stats.pv_uv_daily(_views(spark, sf_dir))
 
 
+@query
+def pv_uv_stamped(spark, sf_dir):
+    """Load form of the PV/UV table; the load time itself is left out, as it never repeats."""
+    rows = stats.stamped_pv_uv(stats.pv_uv_daily(_views(spark, sf_dir)))
+    return rows.select("id", "date", "pv", "uv", (F.col("millis") > 0).alias("stamped"))
+
+
 @query
 def distinct_rows(spark, sf_dir):
     return stats.distinct_visitors(_views(spark, sf_dir))

@@ -13,8 +13,6 @@ _IPV4 = rf"^{_OCTET}(?:\.{_OCTET}){{3}}\z"
 def ipv4_to_long(column: Column | str) -> Column:
     """BIGINT of a dotted IPv4 address, NULL when it is not one."""
     text = as_col(column)
-    octets = F.split(text, r"\.")
-    number = F.lit(0).cast("bigint")
-    for i in range(4):
-        number = number * 256 + F.get(octets, F.lit(i)).try_cast("bigint")
-    return F.when(text.rlike(_IPV4), number)
+    octets = F.split(F.when(text.rlike(_IPV4), text), r"\.")
+    a, b, c, d = (F.get(octets, F.lit(i)).cast("bigint") for i in range(4))
+    return ((a * 256 + b) * 256 + c) * 256 + d

@@ -39,6 +39,12 @@ def pv_uv_joined(pv: DataFrame, uv: DataFrame) -> DataFrame:
             .select("date", F.coalesce("pv", zero).alias("pv"), F.coalesce("uv", zero).alias("uv")))
 
 
+def stamped_pv_uv(pv_uv: DataFrame) -> DataFrame:
+    """The RDBMS form of a PV/UV table: a zero ``id`` for the database to replace, and the load time."""
+    return pv_uv.select(F.lit(0).cast("bigint").alias("id"), "date", "pv", "uv",
+                        F.unix_millis(F.current_timestamp()).alias("millis"))
+
+
 # --- daily statistics over clean access rows ----------------------------------------------------
 
 def of_day_and_type(access: DataFrame, day: str | None, cms_type: str = "video") -> DataFrame:
@@ -138,11 +144,13 @@ def word_count(lines: DataFrame) -> DataFrame:
 
 def word_count_dual(lines: DataFrame) -> DataFrame:
     """Raw and normalised counts from one scan; empty tokens inside a line count as words."""
-    def tagged(kind, text):
-        return F.struct(F.lit(kind).alias("kind"), split_fields(text, " ").alias("words"))
+    def tagged(kind):
+        return F.struct(F.lit(kind).alias("kind"), F.col(kind).alias("words"))
 
-    both = F.array(tagged("raw", F.col("value")), tagged("normalised", normalize_text("value")))
-    return (lines.select(F.inline(both))
+    return (lines.select(split_fields("value", " ").alias("raw"),
+                         normalize_text("value").alias("plain"))
+            .select("raw", split_fields("plain", " ").alias("normalised"))
+            .select(F.inline(F.array(tagged("raw"), tagged("normalised"))))
             .select("kind", F.explode("words").alias("word"))
             .groupBy("kind", "word").agg(F.count(F.lit(1)).alias("n")))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from weblens.sources.writers import STAT_TABLES
 
@@ -34,8 +34,8 @@ def read_jdbc_predicates(spark: SparkSession, url: str, table: str, predicates:
 
 def _write(df: DataFrame, mode: str, url: str, table: str, properties: Mapping[str, str] | None,
            connections: int) -> None:
-    # Every partition is one connection and one transaction; coalesce bounds them without a shuffle.
-    (df.coalesce(connections).write.mode(mode).option("batchsize", BATCH_ROWS)
+    # Every partition is one connection and one transaction.
+    (df.write.mode(mode).option("batchsize", BATCH_ROWS).option("numPartitions", connections)
      .jdbc(url, table, properties=dict(properties or {})))
 
 
@@ -49,12 +49,6 @@ def append_jdbc(df: DataFrame, url: str, table: str,
     _write(df, "append", url, table, properties, connections)
 
 
-def stamped_pv_uv(pv_uv: DataFrame) -> DataFrame:
-    """The RDBMS form of a PV/UV table: a zero ``id`` for the database to replace, and the load time."""
-    return pv_uv.select(F.lit(0).cast("bigint").alias("id"), "date", "pv", "uv",
-                        F.unix_millis(F.current_timestamp()).alias("millis"))
-
-
 def replace_days_jdbc(stats: Mapping[str, DataFrame], days: Iterable[str], url: str,
                       run_sql: Callable[[str, Sequence], object],
                       properties: Mapping[str, str] | None = None) -> None:
