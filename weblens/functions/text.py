@@ -22,13 +22,14 @@ def as_col(column: Column | str) -> Column:
 def split_fields(column: Column | str, delimiter: str) -> Column:
     """Split on a one-character delimiter and drop trailing empty fields.
 
-    An empty string has one empty field; a string made of delimiters only has none.
+    An empty string has one empty field; a string made of delimiters only has none. Most strings do not
+    end in the delimiter and are split as they are.
     """
-    text = as_col(column)
+    text, pattern = as_col(column), re.escape(delimiter)
     body = F.rtrim(text, F.lit(delimiter))
-    return (F.when(text == "", F.array(F.lit("")))
+    return (F.when(~F.endswith(text, F.lit(delimiter)), F.split(text, pattern))
             .when(body == "", F.array().cast("array<string>"))
-            .otherwise(F.split(body, re.escape(delimiter))))
+            .otherwise(F.split(body, pattern)))
 
 
 def trim_blanks(column: Column | str) -> Column:
@@ -48,7 +49,7 @@ def strict_long(column: Column | str) -> Column:
 
 def normalize_text(column: Column | str) -> Column:
     """Lower case without punctuation."""
-    return F.translate(F.lower(as_col(column)), WORD_PUNCTUATION, "")
+    return F.regexp_replace(F.lower(as_col(column)), f"[{re.escape(WORD_PUNCTUATION)}]", "")
 
 
 def referrer_host(column: Column | str) -> Column:

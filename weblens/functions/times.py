@@ -1,6 +1,6 @@
 """Log time stamps.
 
-Well-formed values take the fast path (one ``try_to_timestamp``). A value that only a lenient calendar
+Well-formed values take the fast path (one shape test and one parse). A value that only a lenient calendar
 accepts (hour 25, day 31 in a short month, text after the seconds) is read field by field and rolls
 over. Anything else is epoch 0, or NULL with ``on_error="null"``.
 """
@@ -17,6 +17,7 @@ LOG_FORMAT = "yyyy-MM-dd HH:mm:ss"
 COMPACT_FORMAT = "yyyyMMddHHmmss"
 MONTHS = "JanFebMarAprMayJunJulAugSepOctNovDec"
 
+_LOG_SHAPE = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\z"
 _LOG_FIELDS = r"^(\d{1,4})-(\d{1,4})-(\d{1,6}) (\d{1,6}):(\d{1,6}):(\d{1,6})"
 _CLF_FIELDS = (r"^(\d{1,6})/([A-Za-z]{3})/(\d{1,4}):(\d{1,6}):(\d{1,6}):(\d{1,6}) "
                r"([+-]\d{2})(\d{2})")
@@ -44,8 +45,9 @@ def _or_default(parsed: Column, on_error: str) -> Column:
 def log_timestamp(column: Column | str, on_error: str = "epoch") -> Column:
     """TIMESTAMP of ``yyyy-MM-dd HH:mm:ss`` in the session time zone."""
     text = as_col(column)
+    strict = F.when(text.rlike(_LOG_SHAPE), text.try_cast("timestamp"))
     lenient = _wall_clock(*_fields(text, _LOG_FIELDS, 1, 2, 3, 4, 5, 6)).cast("timestamp")
-    return _or_default(F.coalesce(F.try_to_timestamp(text, F.lit(LOG_FORMAT)), lenient), on_error)
+    return _or_default(F.coalesce(strict, lenient), on_error)
 
 
 def clf_timestamp(column: Column | str, on_error: str = "epoch") -> Column:

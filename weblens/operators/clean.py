@@ -150,7 +150,7 @@ def parse_clicks(lines: DataFrame, on_bad_time: str = "epoch") -> DataFrame:
           .withColumn("time", normalize_click_time(
               _field(1), "null" if on_bad_time == "reject" else on_bad_time)))
     course = (F.when(F.col("url").startswith("/class"),
-                     strict_int(F.get(split_fields("page", "."), F.lit(0))))
+                     strict_int(F.substring_index("page", ".", 1)))
               .otherwise(F.lit(0)))
     df = df.withColumn("courseId", course)
     reason = (F.when(F.size("fields") < 5, "missing_field")
