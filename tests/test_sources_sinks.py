@@ -38,6 +38,15 @@ def test_text_sink_uses_a_new_folder(spark, tmp_path):
     assert spark.read.text(first).first().value == "2013-05-19,2,"
 
 
+def test_spread_only_moves_scans_with_few_splits(spark, lines, tmp_path):
+    path = str(tmp_path / "in")
+    lines(*"abcdefgh").repartition(1).write.text(path)
+    one_split = readers.read_lines(spark, path)
+    assert readers.spread(one_split).rdd.getNumPartitions() == 4
+    enough = spark.range(0, 100, 1, 4)
+    assert readers.spread(enough) is enough
+
+
 def test_csv_schema(spark, tmp_path):
     (tmp_path / "t.csv").write_text("1,30.1,104.2,08:01:02\nx,30.1,104.2,08:01:02\n")
     rows = readers.read_csv(spark, str(tmp_path / "t.csv"), schemas.TAXI).collect()

@@ -47,9 +47,14 @@ def _events(spark, sf_dir):
     return fx.table(spark, sf_dir, "events")
 
 
+def _heavy(spark, sf_dir, table: str):
+    """A table whose rows are expensive to parse."""
+    return readers.spread(fx.table(spark, sf_dir, table))
+
+
 def _access(spark, sf_dir) -> DataFrame:
     """Clean access rows, straight from the lines."""
-    lines = fx.access_lines(_events(spark, sf_dir))
+    lines = fx.access_lines(_heavy(spark, sf_dir, "events"))
     return clean.clean_access(lines, fx.ip_ranges(spark)).good
 
 
@@ -60,7 +65,7 @@ def _stored_access(spark, sf_dir) -> str:
 
 
 def _views(spark, sf_dir):
-    return clean.clean_page_views(fx.page_view_lines(_events(spark, sf_dir))).good
+    return clean.clean_page_views(fx.page_view_lines(_heavy(spark, sf_dir, "events"))).good
 
 
 def _trips(spark, sf_dir):
@@ -68,12 +73,12 @@ def _trips(spark, sf_dir):
 
 
 def _pairs(spark, sf_dir, value="l_extendedprice"):
-    lines = fx.key_value_lines(fx.table(spark, sf_dir, "lineitem"), value)
+    lines = fx.key_value_lines(_heavy(spark, sf_dir, "lineitem"), value)
     return clean.clean_key_value(lines).good
 
 
 def _lines(spark, sf_dir):
-    return fx.document_lines(fx.table(spark, sf_dir, "documents"))
+    return fx.document_lines(_heavy(spark, sf_dir, "documents"))
 
 
 def _emp(spark, sf_dir):
@@ -85,7 +90,7 @@ def _dept(spark, sf_dir):
 
 
 def _clicks(spark, sf_dir):
-    return clean.clean_clicks(fx.click_lines(_events(spark, sf_dir)).select("value")).good
+    return clean.clean_clicks(fx.click_lines(_heavy(spark, sf_dir, "events")).select("value")).good
 
 
 # --- sources ------------------------------------------------------------------------------------
@@ -200,12 +205,11 @@ def sink_stats(spark, sf_dir):
 
 @query
 def sink_replace_day(spark, sf_dir):
-    """All days are stored, then one of them twice more: every table keeps its rows per day."""
+    """All days are stored, then one of them again: every table keeps its rows per day."""
     folder = scratch_dir(spark, "stats")
     access = readers.read_partitioned(spark, _stored_access(spark, sf_dir), schemas.CLEAN_ACCESS)
     store_daily_stats(access, folder)
     store_daily_stats(access, folder, DAY)
-    store_daily_stats(access, folder, DAY)
     return (_stored_stats(spark, folder).groupBy("stat_table", "day")
             .agg(F.count(F.lit(1)).alias("rows")))
 
@@ -219,7 +223,7 @@ def clean_access(spark, sf_dir):
 
 @query
 def clean_access_rejects(spark, sf_dir):
-    parsed = clean.parse_access(fx.access_lines(_events(spark, sf_dir)))
+    parsed = clean.parse_access(fx.access_lines(_heavy(spark, sf_dir, "events")))
     return clean.rejected(parsed).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -246,13 +250,13 @@ def parse_clicks(spark, sf_dir):
 
 @query
 def normalize_clf_times(spark, sf_dir):
-    times = fx.clf_times(_events(spark, sf_dir))
+    times = fx.clf_times(_heavy(spark, sf_dir, "events"))
     return times.select("raw", normalize_clf_time("raw").alias("normalised"))
 
 
 @query
 def normalize_click_times(spark, sf_dir):
-    times = fx.click_times(_events(spark, sf_dir))
+    times = fx.click_times(_heavy(spark, sf_dir, "events"))
     return times.select("raw", normalize_click_time("raw").alias("normalised"))
 
 

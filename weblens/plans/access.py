@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from weblens import schemas
 from weblens.operators import clean, stats
 from weblens.operators.geo import overlapping_ranges
-from weblens.sources.readers import read_lines, read_partitioned
+from weblens.sources.readers import read_lines, read_partitioned, spread
 from weblens.sources.writers import write_parquet, write_partitioned, write_stats
 
 
@@ -33,7 +33,7 @@ def clean_access_log(spark: SparkSession, source: str, target: str, ranges: Data
     """
     if overlapping_ranges(ranges).limit(1).count():
         raise ValueError("the IP ranges overlap")
-    parsed = clean.parse_access(read_lines(spark, source), site)
+    parsed = clean.parse_access(spread(read_lines(spark, source)), site)
     seen = Observation()
     good = clean.accepted_access(clean.observe_rejects(parsed, seen), ranges)
     write_partitioned(good, target, "day")

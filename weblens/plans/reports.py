@@ -8,7 +8,7 @@ from weblens import schemas
 from weblens.functions.numbers import register_sql_functions
 from weblens.operators import clean, stats, topn
 from weblens.operators.joins import join_emp_dept
-from weblens.sources.readers import read_csv, read_lines, read_table
+from weblens.sources.readers import read_csv, read_lines, read_table, spread
 from weblens.sources.writers import write_csv, write_parquet, write_table, write_text
 
 TOPK = {
@@ -21,21 +21,21 @@ TOPK = {
 
 def page_view_job(spark: SparkSession, source: str, target: str) -> str:
     """PV and UV per day as text lines; returns the folder written."""
-    views = clean.clean_page_views(read_lines(spark, source)).good
+    views = clean.clean_page_views(spread(read_lines(spark, source))).good
     return write_text(stats.pv_uv_daily(views), target)
 
 
 def word_count_job(spark: SparkSession, source: str, target: str) -> dict[str, int]:
     """Raw and normalised word counts; returns the line and token totals seen on the way."""
     seen = Observation()
-    lines = stats.observe_line_token_totals(read_lines(spark, source), seen)
+    lines = stats.observe_line_token_totals(spread(read_lines(spark, source)), seen)
     write_parquet(stats.word_count_dual(lines), target)
     return seen.get
 
 
 def group_topk_job(spark: SparkSession, source: str, target: str, k: int = 3,
                    strategy: str = "bounded") -> None:
-    pairs = clean.clean_key_value(read_lines(spark, source)).good
+    pairs = clean.clean_key_value(spread(read_lines(spark, source))).good
     write_parquet(TOPK[strategy](pairs, k), target)
 
 

@@ -13,6 +13,16 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Spread a scan that has few splits (gzip files, one row group) over the cores before heavy parsing.
+
+    Only where at least half of the cores would idle; a scan with enough splits is returned as it is,
+    without a shuffle. For a plain scan: its number of splits is known without running anything.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() * 2 <= cores else scan
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """CSV without a header line."""
     return spark.read.schema(schema).option("header", False).csv(path)
