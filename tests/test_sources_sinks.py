@@ -74,6 +74,15 @@ def test_partitioned_parquet(spark, days, tmp_path):
     assert readers.read_partitioned(spark, path).count() == 100
 
 
+def test_arranged_input_is_written_without_a_shuffle(spark, tmp_path):
+    path = str(tmp_path / "p")
+    rows = spark.range(0, 400, 1, 4).select(
+        "id", F.when(F.col("id") < 200, "a").otherwise("b").alias("day"))
+    writers.write_partitioned(rows, path, "day", arranged=True)
+    assert len(files(path, "a")) == 2 and len(files(path, "b")) == 2
+    assert spark.read.parquet(path).count() == 400
+
+
 def test_a_large_partition_value_is_split_over_files(spark, tmp_path):
     path, key = str(tmp_path / "p"), "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     before = spark.conf.get(key)

@@ -1,7 +1,5 @@
 """The click stream: two deliveries, a restart, a replay, and the same numbers from a batch query."""
 
-from collections import Counter
-
 from weblens import schemas
 from weblens.operators.kv import CellTable, CounterTable
 from weblens.streaming import clicks as cs

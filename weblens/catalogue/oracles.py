@@ -157,16 +157,16 @@ FROM events WHERE event_type = 'error' GROUP BY 1""",
     "parse_key_value": f"WITH {_topk('l_extendedprice')} SELECT key, value FROM pairs",
     "parse_clicks":
         f'WITH {_CLICKS} SELECT ip, time, "courseId", "statusCode", referer FROM clicks',
-    "normalize_clf_times": f"""SELECT CASE event_type WHEN 'error' THEN 'junk'
+    "normalize_clf_time": f"""SELECT CASE event_type WHEN 'error' THEN 'junk'
     WHEN 'view' THEN strftime(ts + INTERVAL 8 HOUR, '[%d/%b/%Y:%H:%M:%S +0800]')
     ELSE strftime(ts, '[%d/%b/%Y:%H:%M:%S +0000]') END AS raw,
   CASE WHEN event_type = 'error' THEN '1970-01-01 00:00:00' ELSE {_TIME} END AS normalised
 FROM events""",
-    "normalize_click_times": f"""SELECT
+    "normalize_click_time": f"""SELECT
   CASE WHEN event_type = 'error' THEN 'junk' ELSE {_TIME} END AS raw,
   CASE WHEN event_type = 'error' THEN '19700101000000'
        ELSE strftime(ts, '%Y%m%d%H%M%S') END AS normalised FROM events""",
-    "referrer_hosts": f"WITH {_CLICKS} SELECT referer, host, count(*) AS n FROM clicks GROUP BY ALL",
+    "referrer_host": f"WITH {_CLICKS} SELECT referer, host, count(*) AS n FROM clicks GROUP BY ALL",
     "filter_day_type":
         f"""WITH {_ACCESS} SELECT * FROM access WHERE day = '{DAY}' AND "cmsType" = 'video'""",
     "project_columns": "SELECT c_nationkey AS deptno, c_acctbal AS sal FROM customer",
@@ -213,8 +213,8 @@ SELECT count(*) AS lines, sum(len({_tokens('line')}))::BIGINT AS tokens FROM lin
     "udf_format_double": """SELECT c_custkey AS empno,
   rtrim(rtrim(round(c_acctbal::VARCHAR::DECIMAL(38, 18), 1)::VARCHAR, '0'), '.') AS "formatSal"
 FROM customer""",
-    "self_average": "SELECT c_nationkey AS deptno, round(avg(c_acctbal), 6) AS avg FROM customer GROUP BY 1",
-    "self_average_pandas":
+    "self_avg": "SELECT c_nationkey AS deptno, round(avg(c_acctbal), 6) AS avg FROM customer GROUP BY 1",
+    "self_avg_pandas":
         "SELECT c_nationkey AS deptno, round(avg(c_acctbal), 6) AS avg FROM customer GROUP BY 1",
     "udf_udaf_report": """SELECT c_nationkey AS deptno, length(c_nationkey::VARCHAR)::INT AS el,
   round(avg(c_acctbal), 6) AS "selfAvgSal", round(avg(c_acctbal), 6) AS sal,

@@ -35,11 +35,12 @@ DAY = "20240105"
 
 
 def query(fn: Query) -> Query:
+    """Register under the function's name, less a final underscore that sets it apart from an import."""
     @wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(configure(spark), sf_dir)
 
-    QUERIES[fn.__name__] = run
+    QUERIES[fn.__name__.rstrip("_")] = run
     return run
 
 
@@ -249,19 +250,19 @@ def parse_clicks(spark, sf_dir):
 
 
 @query
-def normalize_clf_times(spark, sf_dir):
+def normalize_clf_time_(spark, sf_dir):
     times = fx.clf_times(_heavy(spark, sf_dir, "events"))
     return times.select("raw", normalize_clf_time("raw").alias("normalised"))
 
 
 @query
-def normalize_click_times(spark, sf_dir):
+def normalize_click_time_(spark, sf_dir):
     times = fx.click_times(_heavy(spark, sf_dir, "events"))
     return times.select("raw", normalize_click_time("raw").alias("normalised"))
 
 
 @query
-def referrer_hosts(spark, sf_dir):
+def referrer_host_(spark, sf_dir):
     return (_events(spark, sf_dir).select(fx.referer().alias("referer"))
             .select("referer", referrer_host("referer").alias("host"))
             .groupBy("referer", "host").agg(F.count(F.lit(1)).alias("n")))
@@ -440,13 +441,13 @@ def udf_format_double(spark, sf_dir):
 
 
 @query
-def self_average(spark, sf_dir):
+def self_avg_(spark, sf_dir):
     return (_emp(spark, sf_dir).groupBy("deptno")
             .agg(F.round(self_avg("sal"), 6).alias("avg")))
 
 
 @query
-def self_average_pandas(spark, sf_dir):
+def self_avg_pandas(spark, sf_dir):
     averages = self_avg_in_pandas(_emp(spark, sf_dir), "deptno", "sal")
     return averages.select("deptno", F.round("avg", 6).alias("avg"))
 
@@ -540,8 +541,7 @@ def kv_upsert(spark, sf_dir):
 def kv_lookup(spark, sf_dir):
     """Every user on every day they did anything; on some they clicked no course."""
     keys = (_events(spark, sf_dir)
-            .select(composite_key(F.date_format("ts", "yyyyMMdd"), "user_id").alias("row_key"))
-            .distinct())
+            .select(composite_key(F.date_format("ts", "yyyyMMdd"), "user_id").alias("row_key")))
     return lookup(_counters(spark, sf_dir).totals(), keys)
 
 

@@ -24,10 +24,13 @@ def _parser() -> argparse.ArgumentParser:
         for argument in positional:
             sub.add_argument(argument)
         for option, default in options.items():
-            sub.add_argument(f"--{option}", default=default,
-                             type=str if default is None else type(default))
+            if default is False:
+                sub.add_argument(f"--{option}", action="store_true")
+            else:
+                sub.add_argument(f"--{option}", default=default,
+                                 type=str if default is None else type(default))
 
-    job("clean-access", "source", "target", "ranges_csv", site=SITE, rejects=None)
+    job("clean-access", "source", "target", "ranges_csv", site=SITE, rejects=None, arranged=False)
     job("daily-stats", "source", "target", "day")
     job("page-views", "source", "target")
     job("word-count", "source", "target")
@@ -52,7 +55,7 @@ def run(spark: SparkSession, argv: list[str]) -> None:
     if args.job == "clean-access":
         ranges = read_csv(spark, args.ranges_csv, schemas.IP_RANGE)
         print(access.clean_access_log(spark, args.source, args.target, ranges, args.site,
-                                      args.rejects))
+                                      args.rejects, args.arranged))
     elif args.job == "daily-stats":
         access.daily_stats_job(spark, args.source, args.target, args.day)
     elif args.job == "page-views":

@@ -78,11 +78,12 @@ class CellTable:
 
 
 def lookup(table: DataFrame, keys: DataFrame, default: int = 0) -> DataFrame:
-    """Value of every key in ``keys`` (row_key), ``default`` where the table has none.
+    """One row per distinct key in ``keys`` (row_key): its value, or ``default`` where there is none.
 
-    ``table`` is already partitioned by key through its aggregate, so only ``keys`` moves.
+    Both sides are unique and partitioned by key through their aggregates, so the join itself moves no
+    rows, and a key that is asked for a million times still joins once.
     """
-    return (keys.join(table.select("row_key", "value"), "row_key", "left")
+    return (keys.select("row_key").distinct().join(table.select("row_key", "value"), "row_key", "left")
             .select("row_key", F.coalesce("value", F.lit(default).cast("bigint")).alias("value")))
 
 

@@ -26,17 +26,20 @@ def persisted(df: DataFrame) -> Iterator[DataFrame]:
 
 
 def clean_access_log(spark: SparkSession, source: str, target: str, ranges: DataFrame,
-                     site: str = clean.SITE, rejects: str | None = None) -> dict[str, int]:
+                     site: str = clean.SITE, rejects: str | None = None,
+                     arranged: bool = False) -> dict[str, int]:
     """Parse the lines under ``source`` into ``target``; returns the counts of lines and rejects.
 
-    One scan; a second one only if the rejected lines are to be kept in ``rejects``.
+    One scan; a second one only if the rejected lines are to be kept in ``rejects``. Logs ``arranged``
+    by time are not shuffled.
     """
     if overlapping_ranges(ranges).limit(1).count():
         raise ValueError("the IP ranges overlap")
-    parsed = clean.parse_access(spread(read_lines(spark, source)), site)
+    lines = read_lines(spark, source)
+    parsed = clean.parse_access(lines if arranged else spread(lines), site)
     seen = Observation()
     good = clean.accepted_access(clean.observe_rejects(parsed, seen), ranges)
-    write_partitioned(good, target, "day")
+    write_partitioned(good, target, "day", arranged=arranged)
     if rejects:
         write_parquet(clean.rejected(parsed), rejects)
     return seen.get

@@ -30,12 +30,15 @@ def _by_partition(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def write_partitioned(df: DataFrame, path: str, *columns: str, compression: str = "gzip",
-                      only_given: bool = False) -> None:
+                      only_given: bool = False, arranged: bool = False) -> None:
     """Parquet in one folder per partition value.
 
-    Overwrites the whole path, or with ``only_given`` just the partitions that ``df`` has rows for.
+    Overwrites the whole path, or with ``only_given`` just the partitions that ``df`` has rows for. Input
+    that is ``arranged`` (logs in order of time, so that a split holds few days) is written from where
+    it was read, without a shuffle.
     """
-    (_by_partition(df, list(columns)).write.mode("overwrite")
+    placed = df if arranged else _by_partition(df, list(columns))
+    (placed.write.mode("overwrite")
      .option("compression", compression)
      .option("partitionOverwriteMode", "dynamic" if only_given else "static")
      .partitionBy(*columns).parquet(path))
