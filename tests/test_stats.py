@@ -82,6 +82,11 @@ def test_daily_statistics(clean_rows):
         assert as_set(got) == best
 
 
+def test_video_statistic_dsl_equals_sql(clean_rows):
+    counts = stats.unit_counts(stats.of_day_and_type(clean_rows, None))
+    assert stats.video_access_topn(counts).collect() == stats.video_access_topn_sql(clean_rows).collect()
+
+
 def test_daily_stats_tables_have_their_schemas(clean_rows):
     tables = access.daily_stats(stats.access_counts(clean_rows))
     for name, schema in {"video": schemas.DAY_VIDEO, "city": schemas.DAY_CITY_VIDEO,

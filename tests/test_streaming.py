@@ -1,6 +1,7 @@
 """The click stream: two deliveries, a restart, a replay, and the same numbers from a batch query."""
 
 from weblens import schemas
+from weblens.operators.clean import clean_clicks
 from weblens.operators.kv import CellTable, CounterTable
 from weblens.streaming import clicks as cs
 
@@ -30,15 +31,19 @@ def deliver(folder, name, rows):
 
 
 def run(spark, tmp_path, courses, referrers, **source):
-    cs.start_click_counters(cs.file_lines(spark, str(tmp_path / "in"), **source), courses, referrers,
-                            str(tmp_path / "checkpoint"), "s", once=True).awaitTermination()
+    query = cs.start_click_counters(
+        cs.file_lines(spark, str(tmp_path / "in"), **source), courses, referrers,
+        str(tmp_path / "checkpoint"), "s", once=True)
+    query.awaitTermination()
+    return [p.observedMetrics[cs.METRICS] for p in query.recentProgress if p.numInputRows]
 
 
 def test_two_runs_on_one_checkpoint(spark, tmp_path):
     courses = CounterTable(spark, str(tmp_path / "courses"))
     referrers = CounterTable(spark, str(tmp_path / "referrers"))
     deliver(tmp_path / "in", "a.txt", FIRST)
-    run(spark, tmp_path, courses, referrers)
+    (metrics,) = run(spark, tmp_path, courses, referrers)
+    assert (metrics["lines"], metrics["rejects"]) == (4, 1)
     assert totals(courses) == {"20181209_88": 2, "20181209_7": 1}
     deliver(tmp_path / "in", "b.txt", SECOND)
     run(spark, tmp_path, courses, referrers)
@@ -46,7 +51,7 @@ def test_two_runs_on_one_checkpoint(spark, tmp_path):
     run(spark, tmp_path, courses, referrers)
     assert totals(courses) == COURSES and totals(referrers) == REFERRERS
 
-    replay = spark.read.text(str(tmp_path / "in" / "b.txt"))
+    replay = clean_clicks(spark.read.text(str(tmp_path / "in" / "b.txt"))).good
     cs.counter_writer(courses, referrers, "s")(replay, 1)
     assert totals(courses) == COURSES and totals(referrers) == REFERRERS
 
@@ -71,7 +76,6 @@ def test_stateful_totals(spark, tmp_path):
 
 
 def test_batch_counts_equal_the_stream(lines):
-    from weblens.operators.clean import clean_clicks
     counts = cs.click_counts(clean_clicks(lines(*FIRST, *SECOND)).good)
     assert {tuple(r) for r in cs.course_deltas(counts).collect()} == set(COURSES.items())
     assert {tuple(r) for r in cs.referrer_deltas(counts).collect()} == set(REFERRERS.items())

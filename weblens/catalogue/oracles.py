@@ -49,6 +49,9 @@ stat AS (
   SELECT 'day_video_traffics_topn_stat', day, "cmsId", NULL, NULL, NULL, sum(traffic)::BIGINT
   FROM video GROUP BY day, "cmsId")"""
 
+_VIDEO_ACCESS = f"""WITH {_STATS}
+SELECT day, "cmsId", count(*) AS times FROM video GROUP BY day, "cmsId" ORDER BY times DESC"""
+
 _PV_UV = """SELECT strftime(ts, '%Y-%m-%d') AS date,
   count(*) FILTER (event_type <> 'signup') AS pv,
   count(DISTINCT user_id) FILTER (event_type <> 'error') AS uv
@@ -181,8 +184,8 @@ WHERE event_type <> 'error' GROUP BY 1""",
     "pv_uv_stamped": f"SELECT 0::BIGINT AS id, date, pv, uv, true AS stamped FROM ({_PV_UV})",
     "distinct_rows": """SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS date, user_id::VARCHAR AS guid
 FROM events WHERE event_type <> 'error'""",
-    "video_access_topn": f"""WITH {_STATS}
-SELECT day, "cmsId", count(*) AS times FROM video GROUP BY day, "cmsId" ORDER BY times DESC""",
+    "video_access_topn": _VIDEO_ACCESS,
+    "video_access_topn_sql": _VIDEO_ACCESS,
     "video_traffic_topn": f"""WITH {_STATS}
 SELECT day, "cmsId", sum(traffic)::BIGINT AS traffics FROM video GROUP BY day, "cmsId"
 ORDER BY traffics DESC""",

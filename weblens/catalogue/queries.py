@@ -338,6 +338,11 @@ def video_access_topn(spark, sf_dir):
     return stats.video_access_topn(_video_counts(spark, sf_dir))
 
 
+@query
+def video_access_topn_sql(spark, sf_dir):
+    return stats.video_access_topn_sql(_access(spark, sf_dir))
+
+
 @query
 def video_traffic_topn(spark, sf_dir):
     return stats.video_traffic_topn(_video_counts(spark, sf_dir))

@@ -93,6 +93,16 @@ def video_traffic_topn(counts: DataFrame, n: int | None = None) -> DataFrame:
     return ranked(traffic_totals(counts), "traffics", n)
 
 
+VIDEO_ACCESS_SQL = """
+SELECT day, cmsId, count(0) AS times FROM {access} WHERE cmsType = {cms_type}
+GROUP BY day, cmsId ORDER BY times DESC, day, cmsId"""
+
+
+def video_access_topn_sql(access: DataFrame, cms_type: str = "video") -> DataFrame:
+    """``video_access_topn`` as SQL text over the clean access rows."""
+    return access.sparkSession.sql(VIDEO_ACCESS_SQL, access=access, cms_type=cms_type)
+
+
 # --- taxi trips ---------------------------------------------------------------------------------
 
 def hourly_counts(trips: DataFrame) -> DataFrame:

@@ -18,7 +18,6 @@ CONF = {
 # advisory size, splits skewed joins, and splits skewed partitions of a rebalance before a write.
 CLUSTER_CONF = {
     "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "16384",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.files.maxPartitionBytes": "256m",
@@ -34,14 +33,25 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
 def build_session(app_name: str, master: str | None = None,
                   conf: dict[str, str] | None = None) -> SparkSession:
+    """A session with the settings above; ``conf`` wins over them.
+
+    Shuffles start with four partitions per core of the cluster unless ``conf`` says otherwise.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     for key, value in {**CLUSTER_CONF, **CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if spark.conf.get(INITIAL_PARTITIONS, None) is None:
+        cores = spark.sparkContext.defaultParallelism
+        spark.conf.set(INITIAL_PARTITIONS, max(200, 4 * cores))
+    return spark
 
 
 def scratch_dir(spark: SparkSession, label: str = "run") -> str:

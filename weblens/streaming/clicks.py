@@ -20,6 +20,7 @@ from weblens.operators.clean import accepted, parse_clicks
 from weblens.operators.kv import CellTable, CounterTable
 
 TRIGGER = "60 seconds"
+METRICS = "clicks"
 
 # --- sources: DataFrames with a ``value`` column ------------------------------------------------
 
@@ -64,11 +65,17 @@ def referrer_deltas(counts: DataFrame) -> DataFrame:
                     F.col("clicks").alias("delta")))
 
 
+def parsed_clicks(lines: DataFrame) -> DataFrame:
+    """Clicks of the stream; lines and rejects per batch show in its progress as ``clicks``."""
+    parsed = parse_clicks(lines).observe(
+        METRICS, F.count(F.lit(1)).alias("lines"), F.count("reason").alias("rejects"))
+    return accepted(parsed, schemas.CLICK)
+
+
 def counter_writer(courses: CounterTable, referrers: CounterTable,
                    stream_id: str) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function that feeds both tables. Replaying a batch changes nothing."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        clicks = accepted(parse_clicks(batch), schemas.CLICK)
+    def write(clicks: DataFrame, batch_id: int) -> None:
         counts = click_counts(clicks).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             courses.increment(course_deltas(counts), stream_id, batch_id)
@@ -82,7 +89,8 @@ def counter_writer(courses: CounterTable, referrers: CounterTable,
 def start_click_counters(lines: DataFrame, courses: CounterTable, referrers: CounterTable,
                          checkpoint: str, stream_id: str, once: bool = False) -> StreamingQuery:
     """Start the job: every 60 seconds, or with ``once`` until all present data is processed."""
-    writer = (lines.writeStream.foreachBatch(counter_writer(courses, referrers, stream_id))
+    writer = (parsed_clicks(lines).writeStream
+              .foreachBatch(counter_writer(courses, referrers, stream_id))
               .option("checkpointLocation", checkpoint))
     return (writer.trigger(availableNow=True) if once
             else writer.trigger(processingTime=TRIGGER)).start()
