@@ -175,7 +175,23 @@ def test_region_lookup_by_broadcast_and_by_shuffle(spark, limit, no_auto_broadca
         len(ips): None, len(ips) + 1: None}
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
-    assert ("BroadcastHashJoin" in plan) == (limit > 3)
+    assert ("SortMergeJoin" in plan) == (limit == 3)
+
+
+def test_cells_fit_dense_and_wide_ranges(spark):
+    """Thousands of ranges in one block, next to ranges that cover many blocks: few ranges per cell."""
+    dense = [(lo, lo + 9, f"d{lo}") for lo in range(0, 60_000, 10)]
+    wide = [(1 << 20, (1 << 24) - 1, "wide"), (1 << 24, (1 << 24) + 65_535, "block")]
+    blocks = geo.block_ranges(spark.createDataFrame(dense + wide, schemas.IP_RANGE))
+    cells = geo.range_cells(blocks).cache()
+    assert cells.count() <= 3 * blocks.count()
+    assert cells.groupBy("block", "cell").count().agg({"count": "max"}).first()[0] <= 3
+    ips = [(f"0.0.{n >> 8}.{n & 255}", n) for n in range(0, 65_536, 7)] + [("0.18.0.1", None)]
+    found = geo.with_region(spark.createDataFrame(ips, "ip STRING, n INT"),
+                            spark.createDataFrame(dense + wide, schemas.IP_RANGE))
+    for r in found.collect():
+        inside = r.n is not None and r.n < 60_000
+        assert r.region == (f"d{r.n // 10 * 10}" if inside else "wide" if r.n is None else None)
 
 
 def test_overlapping_ranges(spark, ranges):

@@ -1,53 +1,79 @@
-"""Region of an IPv4 address from a table of non-overlapping ranges ``lo, hi, region``."""
+"""Region of an IPv4 address from a table of non-overlapping ranges ``lo, hi, region``.
+
+Ranges are cut at the borders of /16 blocks, and every block is divided into cells whose size fits the
+number of ranges in it: about two cells per range. An address then meets the few ranges of its cell
+through an equi-join, whether a block holds one range or thousands.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from weblens.functions.net import ipv4_to_long
 
-BUCKET_BITS = 16
+BLOCK_BITS = 16
+
+
+def _shift(number: Column, bits: Column) -> Column:
+    return F.call_function("shiftright", number, bits)
 
 
-def bucket_ranges(ranges: DataFrame) -> DataFrame:
-    """One row per range and /16 block it touches, so that the lookup is an equi-join."""
-    first = F.shiftright("lo", BUCKET_BITS)
-    last = F.shiftright("hi", BUCKET_BITS)
-    return ranges.select("lo", "hi", "region", F.explode(F.sequence(first, last)).alias("bucket"))
+def block_ranges(ranges: DataFrame) -> DataFrame:
+    """The parts of the ranges in each /16 block, with ``bits``, the cell size of the block as a power of two."""
+    first, last = F.shiftright("lo", BLOCK_BITS), F.shiftright("hi", BLOCK_BITS)
+    start = F.shiftleft("block", BLOCK_BITS)
+    in_block = F.count(F.lit(1)).over(Window.partitionBy("block"))
+    bits = F.greatest(F.lit(0), F.ceil(F.lit(BLOCK_BITS - 1) - F.log2(in_block))).cast("int")
+    return (ranges.select("lo", "hi", "region", F.explode(F.sequence(first, last)).alias("block"))
+            .select("block", "region", F.greatest("lo", start).alias("lo"),
+                    F.least("hi", start + (2 ** BLOCK_BITS - 1)).alias("hi"))
+            .withColumn("bits", bits))
+
+
+def range_cells(blocks: DataFrame) -> DataFrame:
+    """One row per part of a range and cell it touches."""
+    cells = F.sequence(_shift(F.col("lo"), F.col("bits")), _shift(F.col("hi"), F.col("bits")))
+    return blocks.select("block", F.explode(cells).alias("cell"), "lo", "hi", "region")
 
 
 def overlapping_ranges(ranges: DataFrame) -> DataFrame:
-    """Ranges that start before an earlier range of the same block ends; empty for a valid table."""
-    earlier = Window.partitionBy("bucket").orderBy("lo", "hi").rowsBetween(
+    """Parts of ranges that start before an earlier range of their block ends; empty for a valid table."""
+    earlier = Window.partitionBy("block").orderBy("lo", "hi").rowsBetween(
         Window.unboundedPreceding, -1)
-    return (bucket_ranges(ranges).withColumn("reached", F.max("hi").over(earlier))
-            .filter(F.col("lo") <= F.col("reached"))
-            .select("lo", "hi", "region").distinct())
+    return (block_ranges(ranges).withColumn("reached", F.max("hi").over(earlier))
+            .filter(F.col("lo") <= F.col("reached")).select("lo", "hi", "region"))
 
 
 def with_region(df: DataFrame, ranges: DataFrame, ip: str = "ip", out: str = "region",
                 max_broadcast_rows: int = 1_000_000, salts: int = 32) -> DataFrame:
     """Add the region of ``ip`` as ``out``; NULL for an unknown or malformed address.
 
-    A range table of at most ``max_broadcast_rows`` bucket rows (counted, some 60 bytes each) is
-    broadcast and the rows of ``df`` never move. A larger one is joined by shuffle on (block, salt):
-    the ranges are repeated per salt, so that a block with much of the traffic spreads over tasks.
+    The cell sizes of the blocks are broadcast: there are at most 65,536 blocks. If the ranges have at
+    most ``max_broadcast_rows`` cell rows (counted, some 60 bytes each) they are broadcast too, and the
+    rows of ``df`` never move. Otherwise they are joined by shuffle on (block, cell, salt): the ranges are
+    repeated per salt, so that a cell with much of the traffic spreads over tasks.
     """
-    buckets = bucket_ranges(ranges).select(
-        F.col("lo").alias("_lo"), F.col("hi").alias("_hi"),
-        F.col("bucket").alias("_bucket"), F.col("region").alias("_region"))
+    blocks = block_ranges(ranges)
+    sizes = blocks.groupBy(F.col("block").alias("_of")).agg(F.first("bits").alias("_bits"))
+    cells = range_cells(blocks).select(
+        F.col("block").alias("_in_block"), F.col("cell").alias("_in_cell"),
+        F.col("lo").alias("_lo"), F.col("hi").alias("_hi"), F.col("region").alias("_region"))
+
     keyed = (df.withColumn("_ip", ipv4_to_long(ip))
-             .withColumn("_block", F.shiftright("_ip", BUCKET_BITS)))
-    hit = (F.col("_block") == F.col("_bucket")) & F.col("_ip").between(F.col("_lo"), F.col("_hi"))
+             .withColumn("_block", F.shiftright("_ip", BLOCK_BITS))
+             .join(F.broadcast(sizes), F.col("_block") == F.col("_of"), "left")
+             .withColumn("_cell", _shift(F.col("_ip"), F.col("_bits"))))
+    hit = ((F.col("_block") == F.col("_in_block")) & (F.col("_cell") == F.col("_in_cell"))
+           & F.col("_ip").between(F.col("_lo"), F.col("_hi")))
 
-    if buckets.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows:
-        buckets = F.broadcast(buckets)
+    if cells.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows:
+        cells = F.broadcast(cells)
     else:
         row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
         keyed = keyed.withColumn("_salt", F.pmod(row_hash, F.lit(salts)).cast("int"))
-        copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-        buckets = buckets.withColumn("_copy", copies)
+        cells = cells.withColumn(
+            "_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         hit = hit & (F.col("_salt") == F.col("_copy"))
 
     kept = [F.col(f"`{c}`") for c in df.columns if c != out]
-    return keyed.join(buckets, hit, "left").select(*kept, F.col("_region").alias(out))
+    return keyed.join(cells, hit, "left").select(*kept, F.col("_region").alias(out))
