@@ -59,6 +59,12 @@ def _access(spark, sf_dir) -> DataFrame:
     return clean.clean_access(lines, fx.ip_ranges(spark)).good
 
 
+def _access_fields(spark, sf_dir) -> DataFrame:
+    """Clean access rows without the region, for what does not ask for it."""
+    parsed = clean.parse_access(fx.access_lines(_heavy(spark, sf_dir, "events")))
+    return clean.accepted(parsed, clean.ACCESS_FIELDS)
+
+
 def _stored_access(spark, sf_dir) -> str:
     path = scratch_dir(spark, "access")
     writers.write_partitioned(_access(spark, sf_dir), path, "day")
@@ -329,28 +335,28 @@ def distinct_rows(spark, sf_dir):
     return stats.distinct_visitors(_views(spark, sf_dir))
 
 
-def _video_counts(spark, sf_dir):
-    return stats.unit_counts(stats.of_day_and_type(_access(spark, sf_dir), None))
+def _video_counts(access):
+    return stats.unit_counts(stats.of_day_and_type(access, None))
 
 
 @query
 def video_access_topn(spark, sf_dir):
-    return stats.video_access_topn(_video_counts(spark, sf_dir))
+    return stats.video_access_topn(_video_counts(_access_fields(spark, sf_dir)))
 
 
 @query
 def video_access_topn_sql(spark, sf_dir):
-    return stats.video_access_topn_sql(_access(spark, sf_dir))
+    return stats.video_access_topn_sql(_access_fields(spark, sf_dir))
 
 
 @query
 def video_traffic_topn(spark, sf_dir):
-    return stats.video_traffic_topn(_video_counts(spark, sf_dir))
+    return stats.video_traffic_topn(_video_counts(_access_fields(spark, sf_dir)))
 
 
 @query
 def city_topn(spark, sf_dir):
-    return stats.city_topn(_video_counts(spark, sf_dir))
+    return stats.city_topn(_video_counts(_access(spark, sf_dir)))
 
 
 @query

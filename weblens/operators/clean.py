@@ -57,7 +57,8 @@ def observe_rejects(parsed: DataFrame, observation: Observation) -> DataFrame:
 
 # --- access log: time, url, traffic, ip ---------------------------------------------------------
 
-_ACCESS = StructType([f for f in schemas.CLEAN_ACCESS if f.name != "city"])
+#: What a line says itself; the region is looked up afterwards.
+ACCESS_FIELDS = StructType([f for f in schemas.CLEAN_ACCESS if f.name != "city"])
 
 
 def parse_access(lines: DataFrame, site: str = SITE) -> DataFrame:
@@ -87,7 +88,7 @@ def parse_access(lines: DataFrame, site: str = SITE) -> DataFrame:
 
 def accepted_access(parsed: DataFrame, ranges: DataFrame, **lookup) -> DataFrame:
     """Good access rows with the region of their address as ``city``."""
-    located = with_region(accepted(parsed, _ACCESS), ranges, "ip", "city", **lookup)
+    located = with_region(accepted(parsed, ACCESS_FIELDS), ranges, "ip", "city", **lookup)
     return located.select(*schemas.CLEAN_ACCESS.fieldNames())
 
 

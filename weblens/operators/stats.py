@@ -54,8 +54,12 @@ def of_day_and_type(access: DataFrame, day: str | None, cms_type: str = "video")
 
 
 def unit_counts(access: DataFrame) -> DataFrame:
-    """Every access as a count of one: the input of a statistic that is computed on its own."""
-    return access.select("day", "city", "cmsId", F.lit(1).cast("bigint").alias("times"),
+    """Every access as a count of one: the input of a statistic that is computed on its own.
+
+    Rows without ``city`` will do for the statistics that do not need it.
+    """
+    keys = [c for c in ("day", "city", "cmsId") if c in access.columns]
+    return access.select(*keys, F.lit(1).cast("bigint").alias("times"),
                          F.col("traffic").alias("traffics"))
 
 
