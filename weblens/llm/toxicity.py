@@ -1,7 +1,7 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
 Examples are a bounded sample of labelled documents. Terms (runs of letters) are those of the examples that
-tell the classes apart, and the most frequent ones; their document frequencies are counted over all documents.
+tell the classes apart; their document frequencies are counted over all documents.
 The inverted index of the examples is cut into blocks with the largest weight of each term; a document's bound
 for a block is the sum of its weights times those. Blocks are evaluated from the highest bound down, until the
 bound falls below the k-th similarity, so the neighbours are exact. Their votes, weighted by distance and class
@@ -11,6 +11,7 @@ size, are calibrated on the examples, each without itself.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -21,9 +22,8 @@ from weblens.llm.common import bounded_batches
 from weblens.llm.labels import held_out, logistic, sample, scored, sigmoid
 from weblens.llm.wordhash import text_slices, word_hashes
 
-PER_CLASS = (2000, 1000)
+PER_CLASS = (2000, 2000)
 TERMS = 3072
-FREQUENT = 256
 NEIGHBOURS = 15
 BLOCK = 32
 
@@ -135,19 +135,24 @@ class Neighbours:
 
 
 def choose_terms(chosen: DataFrame) -> list[str]:
-    """At most TERMS terms of the sample: by chi-squared with the label, and the FREQUENT most frequent."""
+    """At most TERMS terms of the sample whose chi-squared with the label is significant (0.01 %, corrected for the
+    number of terms looked at). Other terms bring strangers near each other, in long texts above all."""
     words = (chosen.select("doc_id", "label", F.explode(F.array_distinct(F.regexp_extract_all(
         F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), F.lit(r"[a-z\x{80}-\x{10FFFF}]+"), F.lit(0)))).alias("term")))
     totals = {0: 0, 1: 0} | {r[0]: r[1] for r in chosen.groupBy("label").agg(F.count(F.lit(1))).collect()}
-    bad, fine = float(max(1, totals[1])), float(max(1, totals[0]))
-    p, q = F.col("toxic") / bad, F.col("plain") / fine
+    if not all(totals.values()):
+        return []
+    bad, fine = float(totals[1]), float(totals[0])
     both = (F.col("toxic") + F.col("plain")) / (bad + fine)
     table = (words.groupBy("term").agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("plain"))
-             .withColumn("frequency", F.col("toxic") + F.col("plain")).filter("frequency >= 3")
-             .withColumn("chi", F.pow(p - q, 2) / (both * (1 - both) + F.lit(1e-9))))
-    by_class = table.orderBy(F.desc("chi"), "term").limit(TERMS - FREQUENT)
-    common = table.orderBy(F.desc("frequency"), "term").limit(FREQUENT)
-    return sorted({r[0] for r in by_class.select("term").union(common.select("term")).collect()})
+             .filter("toxic + plain >= 3")
+             .withColumn("chi", F.pow(F.col("toxic") / bad - F.col("plain") / fine, 2)
+                         / (both * (1 - both) + F.lit(1e-9)) * (bad * fine / (bad + fine)))).persist()
+    try:
+        limit = NormalDist().inv_cdf(1 - 0.00005 / max(1, table.count())) ** 2
+        return sorted(r[0] for r in table.filter(F.col("chi") >= limit).orderBy(F.desc("chi"), "term").limit(TERMS).collect())
+    finally:
+        table.unpersist()
 
 
 def learn(docs: DataFrame, labels: DataFrame, per_class: tuple[int, int] = PER_CLASS, k: int = NEIGHBOURS) -> Neighbours:
