@@ -68,6 +68,14 @@ def running(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
                     (F.col("_before") + inside).cast("bigint").alias(out)))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def small_enough(ids: DataFrame, bound: int = BROADCAST_IDS) -> bool:
     """Whether ``ids`` (one BIGINT column) has at most ``bound`` rows, counted."""
     return ids.limit(bound + 1).count() <= bound
@@ -76,8 +84,8 @@ def small_enough(ids: DataFrame, bound: int = BROADCAST_IDS) -> bool:
 def with_ids(df: DataFrame, ids: DataFrame, column: str = "doc_id", keep: bool = True) -> DataFrame:
     """Rows of ``df`` whose ``column`` is among ``ids`` (one column, staged), or with ``keep=False`` the
     others, NULL included. Counted ids within the bound are broadcast, more are joined by shuffle."""
-    name = ids.columns[0]
-    side = ids.select(F.col(name).alias("_id")).distinct()
+    name = fresh(df, "_id")
+    side = ids.select(F.col(ids.columns[0]).alias(name)).distinct()
     if small_enough(ids):
         side = F.broadcast(side)
-    return df.join(side, F.col(column) == F.col("_id"), "left_semi" if keep else "left_anti")
+    return df.join(side, F.col(column) == F.col(name), "left_semi" if keep else "left_anti")

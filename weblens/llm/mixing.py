@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from weblens.llm.common import running, staged
+from weblens.llm.common import fresh, running, staged
 
 WORD = r"[^\x20\x09-\x0D]+"
 BUCKETS = 4096
@@ -111,20 +111,22 @@ def mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), budget: tuple[int,
     kept = [c for c in docs.columns if c not in added]
     sizes = staged(docs.select("source", word_count("text").alias("size"), bucket("doc_id", seed).alias("bucket")),
                    "sizes")
-    plan = staged(mix_plan(sizes, weights, budget, cap), "mix-plan").select(
-        F.col("source").alias("_plan_source"), F.col("source_size").alias("_source_size"),
-        F.col("target").alias("_target"), "whole", "below", "extra")
+    plan = staged(mix_plan(sizes, weights, budget, cap), "mix-plan")
+    name = {c: fresh(docs, f"_plan_{c}") for c in plan.columns}
+    plan = plan.select(*[F.col(c).alias(n) for c, n in name.items()])
     at = bucket("doc_id", seed)
-    again = ((at < F.col("below")) | (at == F.col("extra"))).cast("bigint")
+    again = ((at < F.col(name["below"])) | (at == F.col(name["extra"]))).cast("bigint")
     return (docs.select(*[F.col(f"`{c}`") for c in kept])
-            .join(plan, F.col("source").eqNullSafe(F.col("_plan_source")))
+            .join(plan, F.col("source").eqNullSafe(F.col(name["source"])))
             .select(*[F.col(f"`{c}`") for c in kept], word_count("text").alias("_size"),
-                    (F.col("whole") + again).alias("_repeats"), "_source_size", "_target"))
+                    (F.col(name["whole"]) + again).alias("_repeats"),
+                    F.col(name["source_size"]).alias("_source_size"), F.col(name["target"]).alias("_target")))
 
 
 def repeated(mixed: DataFrame) -> DataFrame:
     """The rows of the mix: each as often as it is taken, without the added columns."""
     added = ["_size", "_repeats", "_source_size", "_target"]
+    copy = fresh(mixed, "_copy")
     return (mixed.filter("_repeats > 0")
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_repeats").cast("int"))))
-            .drop("_copy", *added))
+            .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col("_repeats").cast("int"))))
+            .drop(copy, *added))

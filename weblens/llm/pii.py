@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from weblens.llm.common import bounded_batches, staged
+from weblens.llm.common import bounded_batches, fresh, staged
 
 KEY = b"weblens"
 MOST_BROADCAST = 100_000
@@ -297,7 +297,8 @@ def surrogate_pii(docs: DataFrame, key: bytes = KEY, most_broadcast: int = MOST_
 
         return kept.mapInArrow(rewrite, schema)
 
-    numbered = staged(kept.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    row = fresh(kept, "_row")
+    numbered = staged(kept.withColumn(row, F.monotonically_increasing_id()), "numbered")
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -307,10 +308,12 @@ def surrogate_pii(docs: DataFrame, key: bytes = KEY, most_broadcast: int = MOST_
                                               pa.array([s[2] for s in seen], pa.string())], names=["_of", "_kind", "_value"])
 
     # A row's list is bounded by its own text.
-    own = (numbered.select("_row", "text").mapInArrow(find, "_of BIGINT, _kind STRING, _value STRING")
+    own = (numbered.select(row, "text").mapInArrow(find, "_of BIGINT, _kind STRING, _value STRING")
            .join(again, (F.col("_kind") == F.col("kind")) & (F.col("_value") == F.col("value")))
-           .groupBy("_of").agg(F.collect_list(F.struct("kind", "value", "attempt")).alias("_own")))
-    joined = numbered.join(own, F.col("_row") == F.col("_of"), "left").select(*[F.col(f"`{n}`") for n in names], "_own")
+           .groupBy("_of").agg(F.collect_list(F.struct("kind", "value", "attempt")).alias("own"))
+           .select(F.col("_of").alias(fresh(kept, "_of")), F.col("own").alias(fresh(kept, "_own"))))
+    joined = (numbered.join(own, F.col(row) == F.col(own.columns[0]), "left")
+              .select(*[F.col(f"`{n}`") for n in names], own.columns[1]))
 
     def rewrite_own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
