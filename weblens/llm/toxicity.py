@@ -92,7 +92,7 @@ class Neighbours:
         self.terms, self.names, self.idf, self.k = terms, names, idf, k
         heaviest = [int(t[w.argmax()]) if len(t) else -1 for t, w in vectors]
         order = np.lexsort((ids, heaviest, labels))
-        self.ids, self.labels = np.array(ids, dtype=np.int64)[order], np.array(labels)[order]
+        self.ids, self.labels = np.array(ids, dtype=np.int64)[order], np.array(labels, dtype=np.int64)[order]
         vectors = [vectors[i] for i in order]
         self.index = BlockMaxIndex(vectors, len(terms))
         n = np.bincount(self.labels, minlength=2)
