@@ -9,8 +9,9 @@ sizes cuts the hash space into m parts, m greater than the most shingles in whic
 can differ; then they agree in the whole content of a part, and documents with equal content of a part form a
 block. A shared passage does not bring documents together, only a shared part does.
 
-First every document is paired with the smallest partner its blocks' trees offer; only blocks in which these
-pairs, once verified, leave more than one component are searched for all pairs between components.
+First every document is paired with the smallest partner its blocks' trees offer, then with the largest in another
+component; only blocks in which these pairs, once verified, leave more than one component are searched for all
+pairs between components.
 """
 
 from __future__ import annotations
@@ -119,19 +120,17 @@ class CountTree:
         return self.levels[0][0][at]
 
 
-def block_pairs(ids: np.ndarray, sides: np.ndarray, counts: np.ndarray, num: int, per: int, first: bool) -> list[tuple[int, int]]:
-    """Pairs (smaller id, larger id) of a block from its R-tree. ``first``: for each row the smallest partner with a
-    smaller id. Otherwise all pairs from different ``sides``."""
+def block_pairs(ids: np.ndarray, sides: np.ndarray, counts: np.ndarray, num: int, per: int, which: str) -> list[tuple[int, int]]:
+    """Pairs (smaller id, larger id) from different ``sides`` of a block, from its R-tree: for each row the one with
+    the smallest partner ("min"), with the largest ("max"), or all of them ("all")."""
     tree = CountTree(counts, num, per)
     out = []
     for row in range(len(ids)):
         found = tree.search(row)
-        found = found[ids[found] < ids[row]]
-        if first:
-            if len(found):
-                out.append((int(ids[found].min()), int(ids[row])))
-        else:
-            out += [(int(i), int(ids[row])) for i in ids[found[sides[found] != sides[row]]]]
+        found = ids[found[(ids[found] < ids[row]) & (sides[found] != sides[row])]]
+        if which != "all" and len(found):
+            found = [found.min() if which == "min" else found.max()]
+        out += [(int(i), int(ids[row])) for i in found]
     return out
 
 
@@ -158,8 +157,9 @@ def shingled(docs: DataFrame, size: int, num: int, per: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(describe, schema)
 
 
-def _candidates(blocks: DataFrame, num: int, per: int, first: bool) -> DataFrame:
-    """Distinct pairs (a, b) from the R-trees of ``blocks`` (block, id, side, counts, members).
+def _candidates(blocks: DataFrame, num: int, per: int, which: str) -> DataFrame:
+    """Distinct pairs (a, b) from the R-trees of ``blocks`` (block, id, side, counts, members); unless all are
+    wanted, one for each b.
 
     A block of more than TILE members is cut into tiles by hash, and every two of its tiles are a block.
     """
@@ -177,7 +177,7 @@ def _candidates(blocks: DataFrame, num: int, per: int, first: bool) -> DataFrame
         def flush() -> list[tuple[int, int]]:
             ids, sides, counts = (np.concatenate([h[k] for h in held]) for k in range(3))
             held.clear()
-            return block_pairs(ids, sides, counts, num, per, first) if len(ids) > 1 else []
+            return block_pairs(ids, sides, counts, num, per, which) if len(ids) > 1 else []
 
         last = None
         for batch in batches:
@@ -197,8 +197,10 @@ def _candidates(blocks: DataFrame, num: int, per: int, first: bool) -> DataFrame
         if held:
             yield _pair_batch(flush())
 
-    return (pieces.repartition(*keys).sortWithinPartitions(*keys)
-            .mapInArrow(search, "a BIGINT, b BIGINT").distinct())
+    pairs = pieces.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(search, "a BIGINT, b BIGINT")
+    if which == "all":
+        return pairs.distinct()
+    return pairs.groupBy("b").agg((F.min if which == "min" else F.max)("a").alias("a")).select("a", "b")
 
 
 def _pair_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
@@ -271,17 +273,26 @@ def jaccard_components(docs: DataFrame, size: int = 4, num: int = 85, per: int =
                      .join(counts, F.col("id") == F.col("_of"))
                      .select("block", "id", "members", "counts").distinct(), "members")
 
-    first = staged(_candidates(members.withColumn("side", F.lit(0).cast("bigint")), num, per, True), "first-pairs")
-    links = staged(_verified(first, docs, size, num, per), "first-links")
-    joined = components(links)
-    sided = (members.join(joined, F.col("id") == F.col("node"), "left")
-             .withColumn("side", F.coalesce("component", "id"))
-             .withColumn("_low", F.min("side").over(own)).withColumn("_high", F.max("side").over(own))
-             .filter("_low < _high").select("block", "id", "members", "counts", "side"))
-    more = staged(_candidates(sided, num, per, False)
-                  .join(first.select(F.col("a").alias("_a"), F.col("b").alias("_b")),
-                        (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left_anti"), "more-pairs")
-    links = links.union(_verified(more, docs, size, num, per))
+    # A verified pair per document first, by its smallest partner and then by its largest, so that a dense group
+    # costs about one comparison a member; then every pair between what is still apart in a shared block.
+    tried = links = joined = None
+    for which in ("min", "max", "all"):
+        sided = members.withColumn("side", F.col("id"))
+        if joined is not None:
+            sided = (members.join(joined, F.col("id") == F.col("node"), "left")
+                     .withColumn("side", F.coalesce("component", "id"))
+                     .withColumn("_low", F.min("side").over(own)).withColumn("_high", F.max("side").over(own))
+                     .filter("_low < _high").select("block", "id", "members", "counts", "side"))
+        pairs = _candidates(sided, num, per, which)
+        if tried is not None:
+            pairs = pairs.join(tried.select(F.col("a").alias("_a"), F.col("b").alias("_b")),
+                               (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left_anti")
+        pairs = staged(pairs, "pairs")
+        found = staged(_verified(pairs, docs, size, num, per), "links")
+        tried = pairs if tried is None else tried.union(pairs)
+        links = found if links is None else links.union(found)
+        if which != "all":
+            joined = components(links)
     # Copies of a set, and sets of one doc_id, are linked as well.
     same = (known.select("doc_id", "digest").join(classes.filter("copies > 1").select(F.col("digest").alias("_d"), "rep"),
                                                   F.col("digest") == F.col("_d"))
