@@ -97,7 +97,7 @@ def test_tree_bound_loses_nothing():
     for i in range(0, 300, 7):
         bound = np.minimum(counts, counts[i]).sum(1)
         need = (185 * bound >= 85 * (total + total[i])) & (100 * np.minimum(total, total[i]) >= 85 * np.maximum(total, total[i]))
-        assert set(np.flatnonzero(need)) <= set(tree.search(i).tolist())
+        assert set(np.flatnonzero(need)) <= set(tree.search(i)[0].tolist())
 
 
 def test_jaccard_odd(make_docs, odd_rows):

@@ -9,8 +9,8 @@ sizes cuts the hash space into m parts, m greater than the most shingles in whic
 can differ; then they agree in the whole content of a part, and documents with equal content of a part form a
 block. A shared passage does not bring documents together, only a shared part does.
 
-First every document is paired with the smallest partner its blocks' trees offer, then with the largest in another
-component; only blocks in which these pairs, once verified, leave more than one component are searched for all
+First every document is paired with the partner of the highest bound in its blocks' trees, then with the one in
+another component; only blocks in which these pairs, once verified, leave more than one component are searched for all
 pairs between components.
 """
 
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from weblens.llm.wordhash import mix, shingle_sets, text_slices
 
 GROUPS = 64
 FANOUT = 16
-TILE = 2048
+TILE = 512
 RANGE = 1.35  # sizes of one scheme: from low to below low * RANGE
 _U = np.uint64
 
@@ -59,9 +60,21 @@ class Schemes:
         for s in range(first, last + 1):
             # One more than the exact bound: it rises by at most one between sizes, whatever the rounding.
             most = self.differing(self.lows[s + 1] - 1) + 1
-            out.append((s, most + 2 + most // 50, most))
+            out.append((s, self._parts(s, most), most))
         return out
 
+    @lru_cache(maxsize=None)
+    def _parts(self, scheme: int, most: int) -> int:
+        """Enough parts that the smallest set of the range surely has more than ``most`` that are not empty: their
+        expected number less three deviations. Sets of a few shingles may still have too few of them."""
+        n, parts = self.lows[scheme], most + 2
+        while parts < 2 * most + 8:
+            empty = parts * math.exp(-n / parts)
+            if parts - empty - 3 * math.sqrt(empty) > most:
+                break
+            parts += max(1, parts // 100)
+        return parts
+
 
 def part_keys(hashes: np.ndarray, schemes: Schemes) -> np.ndarray:
     """A key for the content of every part of a set, in every scheme of its size.
@@ -107,8 +120,8 @@ class CountTree:
         size_fits = (least * self.num <= total * self.per) & (most * self.per >= total * self.num)
         return size_fits & ((self.num + self.per) * bound >= self.num * (total + least))
 
-    def search(self, row: int) -> np.ndarray:
-        """Rows whose bound allows a link with ``row``."""
+    def search(self, row: int) -> tuple[np.ndarray, np.ndarray]:
+        """Rows whose bound allows a link with ``row``, and the largest similarity the bound allows."""
         counts, total = self.counts[row], int(self.totals[row])
         at = np.arange(len(self.levels[-1][0]))
         for depth in range(len(self.levels) - 1, -1, -1):
@@ -117,20 +130,27 @@ class CountTree:
             if depth:
                 at = (at[:, None] * FANOUT + np.arange(FANOUT)).reshape(-1)
                 at = at[at < len(self.levels[depth - 1][0])]
-        return self.levels[0][0][at]
+        rows, high, totals, _ = self.levels[0]
+        bound = np.minimum(high[at], counts).sum(axis=1)
+        return rows[at], bound / (total + totals[at] - bound)
 
 
-def block_pairs(ids: np.ndarray, sides: np.ndarray, counts: np.ndarray, num: int, per: int, which: str) -> list[tuple[int, int]]:
-    """Pairs (smaller id, larger id) from different ``sides`` of a block, from its R-tree: for each row the one with
-    the smallest partner ("min"), with the largest ("max"), or all of them ("all")."""
+def block_pairs(ids: np.ndarray, sides: np.ndarray, counts: np.ndarray, num: int, per: int, best: bool) -> list[tuple[int, int, float]]:
+    """(row id, partner id, bound on the similarity) of pairs from different ``sides`` of a block, from its
+    R-tree. ``best``: for each row the partner with the highest bound, the smallest of equals. Otherwise all
+    partners with a smaller id."""
     tree = CountTree(counts, num, per)
-    out = []
+    out: list[tuple[int, int, float]] = []
     for row in range(len(ids)):
-        found = tree.search(row)
-        found = ids[found[(ids[found] < ids[row]) & (sides[found] != sides[row])]]
-        if which != "all" and len(found):
-            found = [found.min() if which == "min" else found.max()]
-        out += [(int(i), int(ids[row])) for i in found]
+        found, bound = tree.search(row)
+        other = (sides[found] != sides[row]) & (ids[found] != ids[row])
+        if best:
+            if other.any():
+                k = np.lexsort((ids[found[other]], -bound[other]))[0]
+                out.append((int(ids[row]), int(ids[found[other][k]]), float(bound[other][k])))
+        else:
+            other &= ids[found] < ids[row]
+            out += [(int(ids[row]), int(i), float(x)) for i, x in zip(ids[found[other]], bound[other])]
     return out
 
 
@@ -157,60 +177,73 @@ def shingled(docs: DataFrame, size: int, num: int, per: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(describe, schema)
 
 
-def _candidates(blocks: DataFrame, num: int, per: int, which: str) -> DataFrame:
-    """Distinct pairs (a, b) from the R-trees of ``blocks`` (block, id, side, counts, members); unless all are
-    wanted, one for each b.
-
-    A block of more than TILE members is cut into tiles by hash, and every two of its tiles are a block.
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+    """The slices of batches that have one value in the first column, which is sorted."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = np.asarray(batch.column(0))
+        cuts = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]]).tolist()
+        for i, j in zip(cuts[:-1], cuts[1:]):
+            if held and held[-1].column(0)[0].as_py() != int(key[i]):
+                yield held
+                held = []
+            held.append(batch.slice(i, j - i))
+    if held:
+        yield held
+
+
+def _candidates(blocks: DataFrame, num: int, per: int, best: bool) -> DataFrame:
+    """Distinct pairs (a < b) from the R-trees of ``blocks`` (block, id, side, counts, members), each with one
+    ``piece`` of a block, the largest that offers it; ``best``: for each id its best partner only.
+
+    A block of more than TILE members is cut into tiles by hash, and every two of its tiles are a piece.
     """
     tiles = F.ceil(F.col("members") / TILE).cast("int")
     mine = F.pmod(F.xxhash64("id"), F.col("_tiles")).cast("int")
     pieces = (blocks.withColumn("_tiles", tiles).withColumn("_mine", mine)
               .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_tiles") - 1)))
-              .select("block", F.least("_mine", "_other").alias("_low"), F.greatest("_mine", "_other").alias("_high"),
+              .select(F.xxhash64("block", F.least("_mine", "_other"), F.greatest("_mine", "_other")).alias("piece"),
                       "id", "side", "counts"))
-    keys = ["block", "_low", "_high"]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = []
+        rows: list[tuple] = []
 
-        def flush() -> list[tuple[int, int]]:
-            ids, sides, counts = (np.concatenate([h[k] for h in held]) for k in range(3))
-            held.clear()
-            return block_pairs(ids, sides, counts, num, per, which) if len(ids) > 1 else []
+        def flush() -> pa.RecordBatch:
+            columns = list(zip(*rows)) or [()] * 5
+            rows.clear()
+            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
+                                              names=["id", "partner", "bound", "members", "piece"])
 
-        last = None
-        for batch in batches:
-            key = np.stack([np.asarray(batch.column(k)).astype(np.int64) for k in range(3)], axis=1)
-            if not len(key):
+        for run in _runs(batches):
+            if sum(r.num_rows for r in run) < 2:
                 continue
-            ids, sides = np.asarray(batch.column(3)), np.asarray(batch.column(4))
-            counts = np.frombuffer(b"".join(batch.column(5).to_pylist()), dtype=np.int32).reshape(-1, GROUPS)
-            cuts = np.concatenate([[0], np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1, [len(key)]])
-            pairs = []
-            for i, j in zip(cuts[:-1], cuts[1:]):
-                if held and tuple(key[i]) != last:
-                    pairs += flush()
-                held.append([ids[i:j], sides[i:j], counts[i:j]])
-                last = tuple(key[i])
-            yield _pair_batch(pairs)
-        if held:
-            yield _pair_batch(flush())
-
-    pairs = pieces.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(search, "a BIGINT, b BIGINT")
-    if which == "all":
-        return pairs.distinct()
-    return pairs.groupBy("b").agg((F.min if which == "min" else F.max)("a").alias("a")).select("a", "b")
-
-
-def _pair_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
-    table = np.array(pairs, dtype=np.int64).reshape(-1, 2)
-    return pa.RecordBatch.from_arrays([pa.array(table[:, 0].copy()), pa.array(table[:, 1].copy())], names=["a", "b"])
+            ids, sides = (np.concatenate([np.asarray(r.column(k)) for r in run]) for k in (1, 2))
+            counts = np.frombuffer(b"".join(x for r in run for x in r.column(3).to_pylist()), dtype=np.int32).reshape(-1, GROUPS)
+            piece = run[0].column(0)[0].as_py()
+            rows += [(*pair, len(ids), piece) for pair in block_pairs(ids, sides, counts, num, per, best)]
+            if len(rows) > 20_000:
+                yield flush()
+        yield flush()
+
+    pairs = (pieces.repartition("piece").sortWithinPartitions("piece")
+             .mapInArrow(search, "id BIGINT, partner BIGINT, bound DOUBLE, members BIGINT, piece BIGINT"))
+    if best:
+        pairs = (pairs.groupBy("id").agg(F.max(F.struct("bound", -F.col("partner"), "members", "piece")).alias("m"))
+                 .select("id", (-F.col("m.col2")).alias("partner"), "m.members", "m.piece"))
+    return (pairs.groupBy(F.least("id", "partner").alias("a"), F.greatest("id", "partner").alias("b"))
+            .agg(F.max(F.struct("members", "piece")).alias("m")).select("a", "b", "m.piece"))
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, size: int, num: int, per: int) -> DataFrame:
-    """The pairs (a, b) whose sets, made again from the whole texts, are linked."""
-    ids = staged(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "candidate-ids")
+    """The pairs (a, b, piece) whose sets, made again from the whole texts, are linked.
+
+    The sets a piece needs come to it once, however many pairs it has.
+    """
+    needed = staged(pairs.select("piece", F.explode(F.array("a", "b")).alias("id")).distinct(), "needed")
+    ids = staged(needed.select("id").distinct(), "candidate-ids")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -219,22 +252,31 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, num: int, per: int)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(found)), pa.array(found, pa.binary())],
                                                  names=["id", "shingles"])
 
-    content = staged(with_ids(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), ids)
-                     .mapInArrow(sets, "id BIGINT, shingles BINARY"), "sets")
+    content = (with_ids(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), ids)
+               .mapInArrow(sets, "id BIGINT, shingles BINARY").withColumnRenamed("id", "_of"))
+    rows = (needed.join(content, F.col("id") == F.col("_of"))
+            .select("piece", F.col("id").alias("a"), F.lit(None).cast("bigint").alias("b"), "shingles")
+            .union(pairs.select("piece", "a", "b", F.lit(None).cast("binary"))))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(x, _U), np.frombuffer(y, _U)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(per * both >= num * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+        for run in _runs(batches):
+            have: dict[int, list[np.ndarray]] = {}
+            good: list[tuple[int, int]] = []
+            for a, b, shingles in (row for r in run for row in zip(*(r.column(k).to_pylist() for k in (1, 2, 3)))):
+                if b is None:  # an id with several texts has several sets
+                    have.setdefault(a, []).append(np.frombuffer(shingles, _U))
+                elif any(_linked(x, y, num, per) for x in have.get(a, []) for y in have.get(b, [])):
+                    good.append((a, b))
+            table = np.array(good, dtype=np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(table[:, 0].copy()), pa.array(table[:, 1].copy())], names=["a", "b"])
+
+    return (rows.repartition("piece").sortWithinPartitions("piece", F.asc_nulls_first("b"))
+            .mapInArrow(compare, "a BIGINT, b BIGINT"))
+
 
-    left = content.select(F.col("id").alias("a_id"), F.col("shingles").alias("x"))
-    right = content.select(F.col("id").alias("b_id"), F.col("shingles").alias("y"))
-    return (pairs.join(left, F.col("a") == F.col("a_id")).join(right, F.col("b") == F.col("b_id"))
-            .select("a", "b", "x", "y").mapInArrow(compare, "a BIGINT, b BIGINT").distinct())
+def _linked(x: np.ndarray, y: np.ndarray, num: int, per: int) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return per * both >= num * (len(x) + len(y) - both)
 
 
 def jaccard_components(docs: DataFrame, size: int = 4, num: int = 85, per: int = 100) -> DataFrame:
@@ -273,25 +315,25 @@ def jaccard_components(docs: DataFrame, size: int = 4, num: int = 85, per: int =
                      .join(counts, F.col("id") == F.col("_of"))
                      .select("block", "id", "members", "counts").distinct(), "members")
 
-    # A verified pair per document first, by its smallest partner and then by its largest, so that a dense group
-    # costs about one comparison a member; then every pair between what is still apart in a shared block.
+    # A verified pair per document first, with its best partner, and again with the best in another component, so
+    # that a dense group costs about one comparison a member; then all pairs between what is still apart.
     tried = links = joined = None
-    for which in ("min", "max", "all"):
+    for best in (True, True, False):
         sided = members.withColumn("side", F.col("id"))
         if joined is not None:
             sided = (members.join(joined, F.col("id") == F.col("node"), "left")
                      .withColumn("side", F.coalesce("component", "id"))
                      .withColumn("_low", F.min("side").over(own)).withColumn("_high", F.max("side").over(own))
                      .filter("_low < _high").select("block", "id", "members", "counts", "side"))
-        pairs = _candidates(sided, num, per, which)
+        pairs = _candidates(sided, num, per, best)
         if tried is not None:
             pairs = pairs.join(tried.select(F.col("a").alias("_a"), F.col("b").alias("_b")),
                                (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left_anti")
-        pairs = staged(pairs, "pairs")
+        pairs = staged(pairs.select("a", "b", "piece"), "pairs")
         found = staged(_verified(pairs, docs, size, num, per), "links")
         tried = pairs if tried is None else tried.union(pairs)
         links = found if links is None else links.union(found)
-        if which != "all":
+        if best:
             joined = components(links)
     # Copies of a set, and sets of one doc_id, are linked as well.
     same = (known.select("doc_id", "digest").join(classes.filter("copies > 1").select(F.col("digest").alias("_d"), "rep"),
