@@ -9,8 +9,7 @@ sizes cuts the hash space into m parts, m greater than the most shingles in whic
 can differ; then they agree in the whole content of a part, and documents with equal content of a part form a
 block. A shared passage does not bring documents together, only a shared part does.
 
-First every document is paired with the partner of the highest bound in its blocks' trees, then with the one in
-another component; only blocks in which these pairs, once verified, leave more than one component are searched for all
+First every document is paired with the partner of the highest bound in its blocks' trees; only blocks in which these pairs, once verified, leave more than one component are searched for all
 pairs between components.
 """
 
@@ -315,10 +314,10 @@ def jaccard_components(docs: DataFrame, size: int = 4, num: int = 85, per: int =
                      .join(counts, F.col("id") == F.col("_of"))
                      .select("block", "id", "members", "counts").distinct(), "members")
 
-    # A verified pair per document first, with its best partner, and again with the best in another component, so
-    # that a dense group costs about one comparison a member; then all pairs between what is still apart.
+    # A verified pair per document first, with its best partner, so that a dense group costs about one comparison
+    # a member; then all pairs between what is still apart.
     tried = links = joined = None
-    for best in (True, True, False):
+    for best in (True, False):
         sided = members.withColumn("side", F.col("id"))
         if joined is not None:
             sided = (members.join(joined, F.col("id") == F.col("node"), "left")
