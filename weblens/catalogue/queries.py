@@ -21,6 +21,7 @@ from weblens.functions.times import normalize_clf_time, normalize_click_time
 from weblens.operators import clean, stats, topn
 from weblens.operators.geo import with_region
 from weblens.operators.joins import join_emp_dept
+from weblens.functions.aggregates import observed
 from weblens.operators.kv import CellTable, CounterTable, lookup, scan_prefix
 from weblens.plans.access import store_daily_stats
 from weblens.plans.reports import emp_dept_job, salary_report
@@ -433,7 +434,7 @@ def line_token_totals_observed(spark, sf_dir):
     seen = Observation()
     lines = stats.observe_line_token_totals(_lines(spark, sf_dir), seen)
     writers.write_parquet(stats.word_count(lines), scratch_dir(spark, "words"))
-    totals = seen.get
+    totals = observed(seen, lambda: stats.line_token_totals(_lines(spark, sf_dir)))
     return spark.createDataFrame([(totals["lines"], totals["tokens"])],
                                  "lines BIGINT, tokens BIGINT")
 

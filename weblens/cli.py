@@ -12,6 +12,7 @@ from weblens.operators.kv import CounterTable
 from weblens.plans import access, reports
 from weblens.session import build_session
 from weblens.sources.readers import read_csv, read_table
+from weblens.sources.writers import write_csv
 from weblens.streaming.clicks import file_lines, kafka_lines, start_click_counters
 
 
@@ -37,7 +38,7 @@ def _parser() -> argparse.ArgumentParser:
     job("group-topk", "source", "target", k=3, strategy="bounded")
     job("taxi", "source", "target", n=5)
     job("emp-dept", "emp_table", "dept_table", "target", "table")
-    job("salaries", "emp_table")
+    job("salaries", "emp_table", "target")
     job("clicks-kafka", "servers", "topics", "tables", "checkpoint", "stream_id")
     job("clicks-files", "folder", "tables", "checkpoint", "stream_id")
     return parser
@@ -70,7 +71,7 @@ def run(spark: SparkSession, argv: list[str]) -> None:
         reports.emp_dept_job(spark, read_table(spark, args.emp_table),
                              read_table(spark, args.dept_table), args.target, args.table)
     elif args.job == "salaries":
-        reports.salary_report(read_table(spark, args.emp_table)).show(truncate=False)
+        write_csv(reports.salary_report(read_table(spark, args.emp_table)), args.target)
     elif args.job == "clicks-kafka":
         _stream(spark, kafka_lines(spark, args.servers, args.topics.split(",")), args)
     elif args.job == "clicks-files":

@@ -10,7 +10,8 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 from pyspark.sql.types import DoubleType, LongType, StructType
 
 from weblens.functions.text import as_col
@@ -67,3 +68,12 @@ def self_avg_in_pandas(df: DataFrame, key: str, value: str, name: str = "avg") -
     buffer = StructType([df.schema[key]]).add("total", DoubleType()).add("n", LongType())
     return aggregate_batches(df, [key], [value], update, buffer,
                              {"total": F.sum, "n": F.sum}, _mean, name)
+
+
+def observed(seen: Observation, recount: Callable[[], DataFrame]) -> dict[str, int]:
+    """What ``seen`` counted on the way. Where the optimizer left the observed part out of the plan, because it
+    could not give a row to the output, there is nothing to get, and ``recount`` (one row) counts instead."""
+    try:
+        return seen.get
+    except (AssertionError, Py4JJavaError):
+        return {k: v or 0 for k, v in recount().first().asDict().items()}

@@ -44,15 +44,25 @@ def overlapping_ranges(ranges: DataFrame) -> DataFrame:
             .filter(F.col("lo") <= F.col("reached")).select("lo", "hi", "region"))
 
 
+def check_ranges(ranges: DataFrame) -> None:
+    """Raise ValueError unless all ranges are 0 <= lo <= hi < 2^32 and none overlaps another."""
+    valid = (F.col("lo") >= 0) & (F.col("lo") <= F.col("hi")) & (F.col("hi") < 2 ** 32)
+    if not ranges.filter(~F.coalesce(valid, F.lit(False))).isEmpty():
+        raise ValueError("an IP range is not within 0 <= lo <= hi < 2^32")
+    if not overlapping_ranges(ranges).isEmpty():
+        raise ValueError("the IP ranges overlap")
+
+
 def with_region(df: DataFrame, ranges: DataFrame, ip: str = "ip", out: str = "region",
                 max_broadcast_rows: int = 1_000_000, salts: int = 32) -> DataFrame:
-    """Add the region of ``ip`` as ``out``; NULL for an unknown or malformed address.
+    """Add the region of ``ip`` as ``out``; NULL for an unknown or malformed address. Invalid ranges raise.
 
     The cell sizes of the blocks are broadcast: there are at most 65,536 blocks. If the ranges have at
     most ``max_broadcast_rows`` cell rows (counted, some 60 bytes each) they are broadcast too, and the
     rows of ``df`` never move. Otherwise they are joined by shuffle on (block, cell, salt): the ranges are
     repeated per salt, so that a cell with much of the traffic spreads over tasks.
     """
+    check_ranges(ranges)
     blocks = block_ranges(ranges)
     sizes = blocks.groupBy(F.col("block").alias("_of")).agg(F.first("bits").alias("_bits"))
     cells = range_cells(blocks).select(
@@ -69,7 +79,10 @@ def with_region(df: DataFrame, ranges: DataFrame, ip: str = "ip", out: str = "re
     if cells.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows:
         cells = F.broadcast(cells)
     else:
-        row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+        # Maps have no hash; the rest of the row spreads it. Rows without a cell can match nothing and get one of
+        # many cells that no range has.
+        row_hash = F.xxhash64(F.lit(0), *[F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind and kind != "variant"])
+        keyed = keyed.withColumn("_cell", F.coalesce("_cell", -1 - F.pmod(row_hash, F.lit(1 << 30))))
         keyed = keyed.withColumn("_salt", F.pmod(row_hash, F.lit(salts)).cast("int"))
         cells = cells.withColumn(
             "_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

@@ -66,14 +66,26 @@ class CellTable:
     family: str = FAMILY
     qualifier: str = QUALIFIER
 
-    def put(self, cells: DataFrame, version: int) -> None:
-        """Set ``cells`` (row_key, value); they win over all lower versions."""
+    def _epoch(self, stream_id: str) -> int:
+        """The epoch of a stream: that of its first write here, or one above all others."""
+        known = {r["stream_id"]: r["epoch"] for r in _read(self.spark, self.path, schemas.CELL_VERSION)
+                 .groupBy("stream_id").agg(F.max("epoch").alias("epoch")).collect()}
+        return known.get(stream_id, 1 + max(known.values(), default=0))
+
+    def put(self, cells: DataFrame, version: int, stream_id: str = "direct") -> None:
+        """Set ``cells`` (row_key, value); they win over lower versions of the same stream, and over all streams
+        that wrote here before this one began. The same stream and version again replaces its first write.
+
+        Versions start again with a new checkpoint: give it a new ``stream_id``. No cells, no write.
+        """
+        if cells.isEmpty():
+            return
         _write(cells.select("row_key", F.col("value").cast("bigint").alias("value")),
-               f"{self.path}/version={version}")
+               f"{self.path}/epoch={self._epoch(stream_id)}/stream_id={stream_id}/version={version}")
 
     def totals(self) -> DataFrame:
         log = _read(self.spark, self.path, schemas.CELL_VERSION)
-        newest = log.groupBy("row_key").agg(F.max(F.struct("version", "value")).alias("newest"))
+        newest = log.groupBy("row_key").agg(F.max(F.struct("epoch", "version", "value")).alias("newest"))
         return _as_cells(newest.select("row_key", "newest.value"), self.family, self.qualifier)
 
 

@@ -98,8 +98,10 @@ def video_traffic_topn(counts: DataFrame, n: int | None = None) -> DataFrame:
 
 
 VIDEO_ACCESS_SQL = """
-SELECT day, cmsId, count(0) AS times FROM {access} WHERE cmsType = {cms_type}
-GROUP BY day, cmsId ORDER BY times DESC, day, cmsId"""
+FROM {access}
+|> WHERE cmsType = {cms_type}
+|> AGGREGATE count(*) AS times GROUP BY day, cmsId
+|> ORDER BY times DESC, day, cmsId"""
 
 
 def video_access_topn_sql(access: DataFrame, cms_type: str = "video") -> DataFrame:
@@ -121,21 +123,18 @@ def taxi_topn(trips: DataFrame, n: int = 5) -> DataFrame:
     return best.orderBy("hour", "rank")
 
 
-TAXI_HOUR_SQL = "SELECT id, lat, lon, SUBSTRING(time, 1, 2) AS hour FROM {trips}"
-TAXI_COUNT_SQL = "SELECT id, hour, count(1) AS count FROM {hours} GROUP BY id, hour"
 TAXI_TOPN_SQL = """
-SELECT * FROM (
-  SELECT id, hour, count, row_number() OVER (PARTITION BY hour ORDER BY count DESC, id) AS rank
-  FROM {counts}) t
-WHERE t.rank <= {n} ORDER BY hour, rank"""
+FROM {trips}
+|> AGGREGATE count(*) AS count GROUP BY id, left(time, 2) AS hour
+|> EXTEND row_number() OVER (PARTITION BY hour ORDER BY count DESC, id) AS rank
+|> WHERE rank <= {n}
+|> SELECT id, hour, count, rank
+|> ORDER BY hour, rank"""
 
 
 def taxi_topn_sql(trips: DataFrame, n: int = 5) -> DataFrame:
-    """``taxi_topn`` as SQL text over named views."""
-    spark = trips.sparkSession
-    hours = spark.sql(TAXI_HOUR_SQL, trips=trips)
-    counts = spark.sql(TAXI_COUNT_SQL, hours=hours)
-    return spark.sql(TAXI_TOPN_SQL, counts=counts, n=n)
+    """``taxi_topn`` as one SQL statement."""
+    return trips.sparkSession.sql(TAXI_TOPN_SQL, trips=trips, n=n)
 
 
 # --- words --------------------------------------------------------------------------------------

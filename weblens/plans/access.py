@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from weblens import schemas
 from weblens.operators import clean, stats
-from weblens.operators.geo import overlapping_ranges
+from weblens.functions.aggregates import observed
+from weblens.operators.geo import check_ranges
 from weblens.sources.readers import read_lines, read_partitioned, spread
 from weblens.sources.writers import write_parquet, write_partitioned, write_stats
 
@@ -33,8 +34,7 @@ def clean_access_log(spark: SparkSession, source: str, target: str, ranges: Data
     One scan; a second one only if the rejected lines are to be kept in ``rejects``. Logs ``arranged``
     by time are not shuffled.
     """
-    if overlapping_ranges(ranges).limit(1).count():
-        raise ValueError("the IP ranges overlap")
+    check_ranges(ranges)
     lines = read_lines(spark, source)
     parsed = clean.parse_access(lines if arranged else spread(lines), site)
     seen = Observation()
@@ -42,7 +42,7 @@ def clean_access_log(spark: SparkSession, source: str, target: str, ranges: Data
     write_partitioned(good, target, "day", arranged=arranged)
     if rejects:
         write_parquet(clean.rejected(parsed), rejects)
-    return seen.get
+    return observed(seen, lambda: parsed.agg(F.count(F.lit(1)).alias("lines"), F.count("reason").alias("rejects")))
 
 
 def daily_stats(counts: DataFrame, n: int = 3) -> dict[str, DataFrame]:
@@ -58,10 +58,12 @@ def daily_stats(counts: DataFrame, n: int = 3) -> dict[str, DataFrame]:
 def store_daily_stats(access: DataFrame, target: str, day: str | None = None, n: int = 3) -> None:
     """Compute and store the statistics of one day, or of all days in ``access``.
 
-    The access rows are read and shuffled once, for the counts that all three tables share.
+    The access rows are read and shuffled once, for the counts that all three tables share. A day that is
+    asked for, or that has access rows, loses what a former run stored even if no row replaces it.
     """
+    days = [day] if day else [r[0] for r in access.select("day").distinct().collect()]
     with persisted(stats.access_counts(stats.of_day_and_type(access, day))) as counts:
-        write_stats(daily_stats(counts, n), target)
+        write_stats(daily_stats(counts, n), target, days)
 
 
 def daily_stats_job(spark: SparkSession, source: str, target: str, day: str) -> None:

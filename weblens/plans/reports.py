@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from weblens import schemas
+from weblens.functions.aggregates import observed
 from weblens.functions.numbers import register_sql_functions
 from weblens.operators import clean, stats, topn
 from weblens.operators.joins import join_emp_dept
@@ -30,7 +31,7 @@ def word_count_job(spark: SparkSession, source: str, target: str) -> dict[str, i
     seen = Observation()
     lines = stats.observe_line_token_totals(spread(read_lines(spark, source)), seen)
     write_parquet(stats.word_count_dual(lines), target)
-    return seen.get
+    return observed(seen, lambda: stats.line_token_totals(read_lines(spark, source)))
 
 
 def group_topk_job(spark: SparkSession, source: str, target: str, k: int = 3,

@@ -12,6 +12,8 @@ from pyspark.sql import SparkSession
 CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # Top-N is cut before the shuffle for any n: the limit keeps a counter per key, not rows.
+    "spark.sql.optimizer.windowGroupLimitThreshold": str(2 ** 31 - 1),
 }
 
 # Start points for a large cluster. AQE merges the many initial shuffle partitions back to the

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # The result tables of the daily statistics.
 STAT_TABLES = {
@@ -63,11 +63,23 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_stats(stats: Mapping[str, DataFrame], folder: str) -> None:
-    """Write the daily statistics, replacing exactly the days they contain.
+def drop_days(spark: SparkSession, folder: str, days: Iterable[str]) -> None:
+    """Remove the partitions of ``days``; those that are not there are left alone."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for day in days:
+        path = jvm.org.apache.hadoop.fs.Path(f"{folder}/day={day}")
+        path.getFileSystem(conf).delete(path, True)
+
+
+def write_stats(stats: Mapping[str, DataFrame], folder: str, days: Iterable[str] = ()) -> None:
+    """Write the daily statistics, replacing the days they contain, and clearing those of ``days`` for which
+    there is no row any more.
 
     ``stats`` has the keys of ``STAT_TABLES``.
     """
     for name, df in stats.items():
-        write_partitioned(df, f"{folder}/{STAT_TABLES[name]}", "day", compression="snappy",
-                          only_given=True)
+        path = f"{folder}/{STAT_TABLES[name]}"
+        write_partitioned(df, path, "day", compression="snappy", only_given=True)
+        wanted = set(days)
+        if wanted:
+            drop_days(df.sparkSession, path, wanted - {r[0] for r in df.select("day").distinct().collect()})

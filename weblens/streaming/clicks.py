@@ -7,6 +7,7 @@ and no state is kept in the engine.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
@@ -15,7 +16,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from weblens import schemas
 from weblens.functions.text import composite_key, referrer_host
-from weblens.functions.times import COMPACT_FORMAT
 from weblens.operators.clean import accepted, parse_clicks
 from weblens.operators.kv import CellTable, CounterTable
 
@@ -98,24 +98,25 @@ def start_click_counters(lines: DataFrame, courses: CounterTable, referrers: Cou
 
 # --- alternative: totals kept as engine state ---------------------------------------------------
 
-def running_course_totals(lines: DataFrame, lateness: str = "1 day") -> DataFrame:
-    """Clicks per day window and course, as streaming state that ends ``lateness`` after the day.
+def running_course_totals(lines: DataFrame) -> DataFrame:
+    """Clicks per day and course, as streaming state.
 
-    Clicks later than that are dropped, which the counter tables above never do.
+    No click is dropped: a late one reaches its day, an unreadable time counts under epoch 0. The state
+    holds one counter per day and course that ever had a click.
     """
-    clicks = accepted(parse_clicks(lines, on_bad_time="reject"), schemas.CLICK)
-    return (clicks.select(F.to_timestamp("time", COMPACT_FORMAT).alias("at"), "courseId")
-            .withWatermark("at", lateness)
-            .groupBy(F.window("at", "1 day"), "courseId").agg(F.count(F.lit(1)).alias("value"))
-            .select(composite_key(F.date_format("window.start", "yyyyMMdd"), "courseId")
-                    .alias("row_key"), "value"))
+    clicks = accepted(parse_clicks(lines), schemas.CLICK)
+    return (clicks.groupBy(F.substring("time", 1, 8).alias("day"), "courseId")
+            .agg(F.count(F.lit(1)).alias("value"))
+            .select(composite_key("day", "courseId").alias("row_key"), "value"))
 
 
 def start_running_totals(lines: DataFrame, totals: CellTable, checkpoint: str,
                          once: bool = False) -> StreamingQuery:
-    """Upsert every changed total; a later batch wins over an earlier one."""
+    """Upsert every changed total; a later batch wins over an earlier one, a later checkpoint over all
+    before it."""
+    stream_id = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
     writer = (running_course_totals(lines).writeStream.outputMode("update")
-              .foreachBatch(lambda batch, batch_id: totals.put(batch, batch_id))
+              .foreachBatch(lambda batch, batch_id: totals.put(batch, batch_id, stream_id))
               .option("checkpointLocation", checkpoint))
     return (writer.trigger(availableNow=True) if once
             else writer.trigger(processingTime=TRIGGER)).start()
