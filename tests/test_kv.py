@@ -61,10 +61,31 @@ def test_lookup_defaults(spark, tmp_path):
 def test_prefix_scan_emits_json_and_pushes_the_prefix(spark, tmp_path):
     table = CounterTable(spark, str(tmp_path / "t"))
     table.increment(deltas(spark, **{"20181207_1": 4, "20181208_1": 5}), "s", 0)
-    scan = scan_prefix(table.totals(), "20181207")
+    scan = scan_prefix(table, "20181207")
     rows = scan.collect()
     assert [json.loads(r.cell) for r in rows] == [
         {"row_key": "20181207_1", "cf": "info", "qualifier": "click_count", "value": 4}]
-    assert "StringStartsWith(row_key,20181207)" in scan._jdf.queryExecution().executedPlan().toString()
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    assert "StringStartsWith(row_key,20181207)" in plan
+    assert "StartsWith(key_day" in plan.split("PartitionFilters: [")[1].split("]")[0]
     assert os.path.isdir(tmp_path / "t" / "stream_id=s" / "batch_id=0")
 
+
+
+def test_a_batch_is_one_file_per_day_whatever_its_partitions(spark, tmp_path):
+    many = spark.range(640).selectExpr("concat('2018120', id % 2, '_', id) AS row_key", "id AS delta", "id AS value").repartition(64)
+    CounterTable(spark, str(tmp_path / "t")).increment(many, "s", 0)
+    table = CellTable(spark, str(tmp_path / "c"))
+    table.put(many, 0)
+    for folder in ("t", "c"):
+        assert len(list((tmp_path / folder).rglob("*.parquet"))) == 2
+    assert table.totals("20181201_1").count() == len([i for i in range(1, 640, 2) if str(i).startswith("1")])
+    assert table.totals().count() == 640
+
+
+def test_keys_that_are_no_days(spark, tmp_path):
+    table = CounterTable(spark, str(tmp_path / "t"))
+    odd = {"": 1, "a/b=c": 2, "ü": 3, "007": 4}
+    table.increment(spark.createDataFrame([*odd.items(), (None, 5)], "row_key STRING, delta BIGINT"), "s", 0)
+    assert values(table) == {**odd, None: 5}
+    assert [r.row_key for r in scan_prefix(table, "a/b").collect()] == ["a/b=c"]

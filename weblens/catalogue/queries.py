@@ -559,7 +559,7 @@ def kv_lookup(spark, sf_dir):
 
 @query
 def kv_prefix_scan(spark, sf_dir):
-    return scan_prefix(_counters(spark, sf_dir).totals(), DAY)
+    return scan_prefix(_counters(spark, sf_dir), DAY)
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,8 +2,9 @@
 
 A counter table is a log of deltas. Every write has a (stream, batch) identity and replaces the folder of
 that identity, so a replayed batch changes nothing; the value of a key is the sum of its deltas. A cell
-table is a log of versioned values; the value of a key is the one with the highest version. Rows are
-sorted by key inside each file, so that key filters skip row groups.
+table is a log of versioned values; the value of a key is the one with the highest version. Both are
+partitioned by the first eight characters of the key, its day, and sorted by key inside each file, so that a
+prefix scan opens the files of its days only.
 """
 
 from __future__ import annotations
@@ -20,6 +21,9 @@ from weblens import schemas
 FAMILY = "info"
 QUALIFIER = "click_count"
 
+DAY_LENGTH = 8
+
+
 def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     try:
         return spark.read.schema(schema).parquet(path)
@@ -29,8 +33,18 @@ def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def _of_prefix(log: DataFrame, prefix: str) -> DataFrame:
+    """The rows whose key starts with ``prefix``; other days are not read."""
+    if not prefix:
+        return log
+    return log.filter(F.col("key_day").startswith(prefix[:DAY_LENGTH]) & F.col("row_key").startswith(prefix))
+
+
 def _write(df: DataFrame, folder: str) -> None:
-    df.sortWithinPartitions("row_key").write.mode("overwrite").parquet(folder)
+    """One file per day of the keys, or several where AQE splits a large day, whatever the input's partitions."""
+    (df.withColumn("key_day", F.substring("row_key", 1, DAY_LENGTH)).hint("rebalance", F.col("key_day"))
+     .sortWithinPartitions("key_day", "row_key")
+     .write.mode("overwrite").partitionBy("key_day").parquet(folder))
 
 
 def _as_cells(values: DataFrame, family: str, qualifier: str) -> DataFrame:
@@ -53,8 +67,9 @@ class CounterTable:
         _write(deltas.select("row_key", F.col("delta").cast("bigint").alias("delta")),
                f"{self.path}/stream_id={stream_id}/batch_id={batch_id}")
 
-    def totals(self) -> DataFrame:
-        log = _read(self.spark, self.path, schemas.COUNTER_DELTA)
+    def totals(self, prefix: str = "") -> DataFrame:
+        """The counters of keys that start with ``prefix``."""
+        log = _of_prefix(_read(self.spark, self.path, schemas.COUNTER_DELTA), prefix)
         sums = log.groupBy("row_key").agg(F.sum("delta").alias("value"))
         return _as_cells(sums, self.family, self.qualifier)
 
@@ -83,8 +98,9 @@ class CellTable:
         _write(cells.select("row_key", F.col("value").cast("bigint").alias("value")),
                f"{self.path}/epoch={self._epoch(stream_id)}/stream_id={stream_id}/version={version}")
 
-    def totals(self) -> DataFrame:
-        log = _read(self.spark, self.path, schemas.CELL_VERSION)
+    def totals(self, prefix: str = "") -> DataFrame:
+        """The cells of keys that start with ``prefix``."""
+        log = _of_prefix(_read(self.spark, self.path, schemas.CELL_VERSION), prefix)
         newest = log.groupBy("row_key").agg(F.max(F.struct("epoch", "version", "value")).alias("newest"))
         return _as_cells(newest.select("row_key", "newest.value"), self.family, self.qualifier)
 
@@ -99,7 +115,7 @@ def lookup(table: DataFrame, keys: DataFrame, default: int = 0) -> DataFrame:
             .select("row_key", F.coalesce("value", F.lit(default).cast("bigint")).alias("value")))
 
 
-def scan_prefix(table: DataFrame, prefix: str) -> DataFrame:
+def scan_prefix(table: CounterTable | CellTable, prefix: str) -> DataFrame:
     """Cells whose row key starts with ``prefix``, each as JSON text."""
     cell = F.to_json(F.struct("row_key", "cf", "qualifier", "value"))
-    return table.filter(F.col("row_key").startswith(prefix)).select("row_key", cell.alias("cell"))
+    return table.totals(prefix).select("row_key", cell.alias("cell"))

@@ -28,5 +28,5 @@ DAY_VIDEO = _struct(day=_S, cms_id=_L, times=_L)
 DAY_CITY_VIDEO = _struct(day=_S, cms_id=_L, city=_S, times=_L, times_rank=_I)
 DAY_TRAFFIC = _struct(day=_S, cms_id=_L, traffics=_L)
 
-COUNTER_DELTA = _struct(row_key=_S, delta=_L, stream_id=_S, batch_id=_L)
-CELL_VERSION = _struct(row_key=_S, value=_L, epoch=_L, stream_id=_S, version=_L)
+COUNTER_DELTA = _struct(row_key=_S, delta=_L, stream_id=_S, batch_id=_L, key_day=_S)
+CELL_VERSION = _struct(row_key=_S, value=_L, epoch=_L, stream_id=_S, version=_L, key_day=_S)
