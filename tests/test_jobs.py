@@ -85,7 +85,7 @@ def test_emp_dept_and_salaries(spark, run, tmp_path):
     table = spark.table("t_emp_dept")
     assert table.columns == ["dname", "empno", "sal", "deptno"]
     assert {(r.dname, r.empno, r.deptno, r.sal) for r in table.collect()} == expected
-    assert not spark.catalog.tableExists(reports.EMP_DEPT_VIEW)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith(reports.EMP_DEPT_VIEW)]
     spark.sql("DROP TABLE t_emp_dept")
     run("salaries", "t_emp", tmp_path / "salaries")
     rows = spark.read.option("header", True).csv(str(tmp_path / "salaries")).collect()
@@ -93,5 +93,7 @@ def test_emp_dept_and_salaries(spark, run, tmp_path):
 
 
 def test_parser_knows_the_streaming_jobs():
-    args = cli._parser().parse_args(["clicks-kafka", "h:1", "a,b", "/t", "/c", "s1"])
+    args = cli._parser().parse_args(["clicks-kafka", "h:1", "a,b", "/t", "/c", "s1", "--kafka_option", "kafka.group.id=g",
+                                     "--kafka_option", "maxOffsetsPerTrigger=1000"])
+    assert args.kafka_option == ["kafka.group.id=g", "maxOffsetsPerTrigger=1000"]
     assert (args.job, args.topics, args.stream_id) == ("clicks-kafka", "a,b", "s1")

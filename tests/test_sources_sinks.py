@@ -60,6 +60,12 @@ def test_small_sorted_csv_is_one_file_in_order(spark, tmp_path):
     writers.write_csv(df, path)
     (file,) = glob.glob(f"{path}/*.csv")
     assert open(file).read().split() == ["n", *map(str, range(200))]
+    many = spark.range(50, numPartitions=5)
+    writers.write_csv(many, path)
+    assert len(glob.glob(f"{path}/*.csv")) == 5
+    writers.write_csv(many, path, single_file=True)
+    (file,) = glob.glob(f"{path}/*.csv")
+    assert open(file).read().split() == ["id", *map(str, range(50))]
 
 
 def test_partitioned_parquet(spark, days, tmp_path):

@@ -125,10 +125,15 @@ def src_parquet_partitioned(spark, sf_dir):
     return access.groupBy("day").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def _catalog_emp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    view = f"weblens_emp_{uuid.uuid4().hex}"
+    _emp(spark, sf_dir).createOrReplaceTempView(view)
+    return readers.read_table(spark, view)
+
+
 @query
 def src_catalog(spark, sf_dir):
-    _emp(spark, sf_dir).createOrReplaceTempView("weblens_emp")
-    return readers.read_table(spark, "weblens_emp")
+    return _catalog_emp(spark, sf_dir)
 
 
 @query
@@ -297,8 +302,7 @@ def preview(spark, sf_dir):
 @query
 def join_catalog_dept(spark, sf_dir):
     """Employees from a catalog view with the department table."""
-    _emp(spark, sf_dir).createOrReplaceTempView("weblens_join_emp")
-    return join_emp_dept(readers.read_table(spark, "weblens_join_emp"), _dept(spark, sf_dir))
+    return join_emp_dept(_catalog_emp(spark, sf_dir), _dept(spark, sf_dir))
 
 
 @query

@@ -25,7 +25,9 @@ def _parser() -> argparse.ArgumentParser:
         for argument in positional:
             sub.add_argument(argument)
         for option, default in options.items():
-            if default is False:
+            if default == []:
+                sub.add_argument(f"--{option}", action="append", default=[])
+            elif default is False:
                 sub.add_argument(f"--{option}", action="store_true")
             else:
                 sub.add_argument(f"--{option}", default=default,
@@ -36,10 +38,10 @@ def _parser() -> argparse.ArgumentParser:
     job("page-views", "source", "target")
     job("word-count", "source", "target")
     job("group-topk", "source", "target", k=3, strategy="bounded")
-    job("taxi", "source", "target", n=5)
+    job("taxi", "source", "target", n=5, single_file=False)
     job("emp-dept", "emp_table", "dept_table", "target", "table")
     job("salaries", "emp_table", "target")
-    job("clicks-kafka", "servers", "topics", "tables", "checkpoint", "stream_id")
+    job("clicks-kafka", "servers", "topics", "tables", "checkpoint", "stream_id", kafka_option=[])
     job("clicks-files", "folder", "tables", "checkpoint", "stream_id")
     return parser
 
@@ -66,14 +68,15 @@ def run(spark: SparkSession, argv: list[str]) -> None:
     elif args.job == "group-topk":
         reports.group_topk_job(spark, args.source, args.target, args.k, args.strategy)
     elif args.job == "taxi":
-        reports.taxi_job(spark, args.source, args.target, args.n)
+        reports.taxi_job(spark, args.source, args.target, args.n, args.single_file)
     elif args.job == "emp-dept":
         reports.emp_dept_job(spark, read_table(spark, args.emp_table),
                              read_table(spark, args.dept_table), args.target, args.table)
     elif args.job == "salaries":
         write_csv(reports.salary_report(read_table(spark, args.emp_table)), args.target)
     elif args.job == "clicks-kafka":
-        _stream(spark, kafka_lines(spark, args.servers, args.topics.split(",")), args)
+        options = dict(o.split("=", 1) for o in args.kafka_option)
+        _stream(spark, kafka_lines(spark, args.servers, args.topics.split(","), options), args)
     elif args.job == "clicks-files":
         _stream(spark, file_lines(spark, args.folder), args)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from weblens import schemas
@@ -40,8 +42,8 @@ def group_topk_job(spark: SparkSession, source: str, target: str, k: int = 3,
     write_parquet(TOPK[strategy](pairs, k), target)
 
 
-def taxi_job(spark: SparkSession, source: str, target: str, n: int = 5) -> None:
-    write_csv(stats.taxi_topn(read_csv(spark, source, schemas.TAXI), n), target)
+def taxi_job(spark: SparkSession, source: str, target: str, n: int = 5, single_file: bool = False) -> None:
+    write_csv(stats.taxi_topn(read_csv(spark, source, schemas.TAXI), n), target, single_file)
 
 
 EMP_DEPT_VIEW = "weblens_emp_dept"
@@ -51,16 +53,17 @@ def emp_dept_job(spark: SparkSession, emp: DataFrame, dept: DataFrame, target: s
                  table: str) -> None:
     """Join, then store as files and as a table partitioned by ``deptno``.
 
-    The join is cached as a named view while the two outputs are written.
+    The join is cached as a view with a name of its own while the two outputs are written.
     """
-    join_emp_dept(emp, dept).createOrReplaceTempView(EMP_DEPT_VIEW)
-    spark.catalog.cacheTable(EMP_DEPT_VIEW)
+    view = f"{EMP_DEPT_VIEW}_{uuid.uuid4().hex}"
+    join_emp_dept(emp, dept).createOrReplaceTempView(view)
+    spark.catalog.cacheTable(view)
     try:
-        write_parquet(read_table(spark, EMP_DEPT_VIEW), target)
-        write_table(read_table(spark, EMP_DEPT_VIEW), table, "deptno")
+        write_parquet(read_table(spark, view), target)
+        write_table(read_table(spark, view), table, "deptno")
     finally:
-        spark.catalog.uncacheTable(EMP_DEPT_VIEW)
-        spark.catalog.dropTempView(EMP_DEPT_VIEW)
+        spark.catalog.uncacheTable(view)
+        spark.catalog.dropTempView(view)
 
 
 SALARY_SQL = """

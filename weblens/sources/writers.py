@@ -54,13 +54,13 @@ def write_table(df: DataFrame, table: str, *columns: str) -> None:
      .partitionBy(*columns).saveAsTable(table))
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header in the order of ``df``.
+def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
+    """CSV with a header in the order of ``df``, in as many files as it has partitions.
 
-    A sorted result of a few rows ends in one partition under AQE and so in one file; a large one
-    stays in many, in order.
+    With ``single_file`` in one, written by one task: only for reports of a few rows.
     """
-    df.write.mode("overwrite").option("header", True).csv(path)
+    placed = df.coalesce(1) if single_file else df
+    placed.write.mode("overwrite").option("header", True).csv(path)
 
 
 def drop_days(spark: SparkSession, folder: str, days: Iterable[str]) -> None:
