@@ -9,7 +9,7 @@ from tokenizers import Tokenizer
 
 from tests.llm.conftest import SF_DIR
 from weblens.llm import queries
-from weblens.llm.packing import pack_documents, patterns, price, relaxed
+from weblens.llm.packing import pack_documents, pack_sequences, patterns, price, relaxed
 from weblens.llm.simple8b import binary_output, pack, read_segment, segment, unpack
 from weblens.llm.tokens import Encoder
 
@@ -103,6 +103,15 @@ def test_sequences(spark, make_docs, odd_rows, source):
         assert sum(held.values()) >= 0.96 * 2048 * len(held)
 
 
+def test_sequences_hold_the_ids(make_docs, odd_rows):
+    held = {}
+    for r in pack_sequences(make_docs(odd_rows), PATHS[1]).collect():
+        assert len(r["ids"]) == r["length"]
+        held[r["sequence_id"], r["offset"]] = (str(r["doc_id"]), r["start"], r["ids"])
+    want = [(str(d), s, x[s:s + 2048]) for d, x in expected_ids(PATHS[1], [r[:2] for r in odd_rows], 1) for s in range(0, len(x), 2048)]
+    assert sorted(held.values()) == sorted(want)
+
+
 def test_patterns():
     rng = np.random.default_rng(1)
     for top in (3, 40, 5000):

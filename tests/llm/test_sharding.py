@@ -1,9 +1,11 @@
 import zlib
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 from tests.llm.conftest import SF_DIR
 from weblens.llm import queries
-from weblens.llm.sharding import shard_documents
+from weblens.llm.sharding import place_documents, shard_documents
 
 
 def checked(rows, texts, shards=16):
@@ -51,3 +53,13 @@ def test_third_of_all_is_one_group(make_docs):
 def test_odd(make_docs, odd_rows):
     checked(shard_documents(make_docs(odd_rows), 4).collect(), [r[:2] for r in odd_rows], 4)
     assert shard_documents(make_docs([])).count() == 0
+
+
+def test_shards_hold_the_documents(spark, make_docs, odd_rows):
+    docs = make_docs(odd_rows).withColumn("slot", F.lit("old"))
+    out = place_documents(docs, 4)
+    assert sorted(out.columns) == sorted([*docs.columns, "shard"])
+    held = [c for c in docs.columns if c != "slot"]
+    assert sorted(map(str, out.select(*held).collect())) == sorted(map(str, docs.select(*held).collect()))
+    names = {f.rsplit("/shard=", 1)[1].split("/")[0] for f in out.inputFiles()}
+    assert names == {str(r[0]) for r in out.select("shard").distinct().collect()}

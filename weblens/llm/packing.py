@@ -4,7 +4,7 @@ Documents are cut into full pieces and a rest; pieces are counted in classes of
 the linear program whatever the number of documents. Patterns (how many pieces of each class share a
 sequence) are priced by a knapsack over the dual values until none improves, rounded down, and the few
 pieces left over are packed best fit. Pieces get their place by their rank in the class: no group of pieces
-ever meets in a task, and no token moves.
+ever meets in a task. Ranks move without the ids, which then follow their piece to its sequence.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from weblens.llm.common import bounded_batches, running, staged
+from weblens.llm.common import bounded_batches, partitions, running, staged
 from weblens.llm.tokens import encoder
 
 CAPACITY = 2048
@@ -113,36 +113,40 @@ def patterns(histogram: dict[int, int], capacity: int, most_columns: int = 1500)
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFrame:
-    """doc_id, start, length, ids_crc32, doc_tokens of the pieces of every whole text of ``docs``."""
+    """doc_id, start, length, doc_tokens, ids of the pieces of every whole text of ``docs``."""
     bounded_batches(docs.sparkSession)
-    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+    names = ["doc_id", "start", "length", "doc_tokens"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(tokenizer)
         for batch in batches:
             rows: list[list] = [[] for _ in names]
+            flat = []
             for doc_id, ids in zip(batch.column(0).to_pylist(), coder.encode(batch.column(1), end_id)):
-                raw = ids.astype("<u4")
+                flat.append(ids)
                 for start in range(0, len(ids), capacity):
-                    part = raw[start:start + capacity]
-                    for out, x in zip(rows, (doc_id, start, len(part), zlib.crc32(part.tobytes()), len(ids))):
+                    for out, x in zip(rows, (doc_id, start, min(capacity, len(ids) - start), len(ids))):
                         out.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(r, pa.int64()) for r in rows], names=names)
+            ends = np.concatenate([[0], np.cumsum(rows[2])]).astype(np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(flat or [np.zeros(0, np.uint32)]).astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([*[pa.array(r, pa.int64()) for r in rows], ids], names=[*names, "ids"])
 
-    return docs.select("doc_id", "text").mapInArrow(cut, ", ".join(f"{n} BIGINT" for n in names))
+    return docs.select("doc_id", "text").mapInArrow(cut, ", ".join(f"{n} BIGINT" for n in names) + ", ids ARRAY<INT>")
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = CAPACITY,
+def pack_sequences(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = CAPACITY,
                    unit: int = UNIT) -> DataFrame:
-    """A row per piece of ``docs`` (doc_id, text): where it is in its document and in which sequence.
+    """A row per piece of ``docs`` (doc_id, text), with its ids, written by ranges of sequences.
 
-    doc_id, start, length, ids_crc32, doc_tokens, sequence_id (gapless from 0), offset. A NULL or empty text is
-    one piece of the end id; rows with one doc_id are packed each by itself; a NULL doc_id stays NULL; no
-    rows give no rows; columns other than doc_id and text are left.
+    doc_id, start, length, doc_tokens, sequence_id (gapless from 0), offset, ids. Rows of a sequence lie in one
+    file in order of their offset. A NULL or empty text is one piece of the end id; rows with one doc_id are packed
+    each by itself; a NULL doc_id stays NULL; no rows give no rows; columns other than doc_id and text are left.
     """
     spark = docs.sparkSession
     pieces = staged(token_pieces(docs, tokenizer, end_id, capacity)
-                    .withColumn("_class", F.ceil(F.col("length") / unit).cast("int")), "pieces")
+                    .withColumn("_class", F.ceil(F.col("length") / unit).cast("int"))
+                    .withColumn("_hash", F.xxhash64("ids"))
+                    .withColumn("_piece", F.monotonically_increasing_id()), "pieces")
     histogram = {r[0]: r[1] for r in pieces.groupBy("_class").agg(F.count(F.lit(1))).collect()}
     slots, base, given = [], 0, dict.fromkeys(histogram, 0)
     for times, used in patterns(histogram, capacity // unit):
@@ -154,11 +158,35 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: i
         raise RuntimeError("patterns do not hold the pieces")
     # At most classes x patterns rows, whatever the number of documents.
     table = spark.createDataFrame(slots, "_of INT, _from BIGINT, _to BIGINT, _each BIGINT, _base BIGINT")
-    ranked = running(pieces, ["_class"], ["doc_id", "start", "ids_crc32"], "_rank", label="ranked-pieces")
+    ranked = running(pieces.select("_piece", "_class", "_hash", "doc_id", "start"), ["_class"],
+                     ["doc_id", "start", "_hash"], "_rank", label="ranked-pieces")
     placed = (ranked.join(F.broadcast(table), (F.col("_class") == F.col("_of"))
                           & (F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to")))
-              .withColumn("sequence_id", F.expr("_base + (_rank - _from) div _each")))
+              .select(F.col("_piece").alias("_placed"), "_rank",
+                      F.expr("_base + (_rank - _from) div _each").alias("sequence_id")))
     earlier = (Window.partitionBy("sequence_id").orderBy(F.desc("length"), "doc_id", "start", "_rank")
                .rowsBetween(Window.unboundedPreceding, -1))
-    return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id",
-                         F.coalesce(F.sum("length").over(earlier), F.lit(0)).cast("bigint").alias("offset"))
+    return staged(pieces.join(placed, F.col("_piece") == F.col("_placed"))
+                  .repartitionByRange(partitions(spark), "sequence_id")
+                  .select("doc_id", "start", "length", "doc_tokens", "sequence_id",
+                          F.coalesce(F.sum("length").over(earlier), F.lit(0)).cast("bigint").alias("offset"), "ids")
+                  .sortWithinPartitions("sequence_id", "offset"), "sequences")
+
+
+def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = CAPACITY,
+                   unit: int = UNIT) -> DataFrame:
+    """The table of ``pack_sequences`` as written, with the digest of each piece's ids instead of them: doc_id, start,
+    length, ids_crc32, doc_tokens, sequence_id, offset."""
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            *rest, ids = batch.columns
+            flat, ends = ids.flatten().to_numpy().astype("<u4"), np.concatenate([[0], np.cumsum(rest[2].to_numpy())])
+            sums = [zlib.crc32(flat[i:j].tobytes()) for i, j in zip(ends[:-1], ends[1:])]
+            yield pa.RecordBatch.from_arrays([*rest[:3], pa.array(sums, pa.int64()), *rest[3:]], names=names)
+
+    bounded_batches(docs.sparkSession)
+    return (pack_sequences(docs, tokenizer, end_id, capacity, unit)
+            .select("doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids")
+            .mapInArrow(digest, ", ".join(f"{n} BIGINT" for n in names)))

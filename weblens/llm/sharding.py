@@ -11,11 +11,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from weblens.llm.common import running, staged
+from weblens.llm.common import fresh, running, staged
+from weblens.session import scratch_dir
 
 SHARDS = 16
 BANDS = (32768, 8192, 2048, 512, 128)
-_ADDED = ["size", "text_crc32", "law", "shard", "slot", "grown_shard"]
 
 
 def text_bytes() -> Column:
@@ -109,15 +109,19 @@ def fill(singles: DataFrame, loads: dict[int, int]) -> DataFrame:
     return laid.select(*names, shard.cast("int").alias("shard"))
 
 
-def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = 20) -> DataFrame:
-    """A row per row of ``docs`` (doc_id, text): doc_id, size, text_crc32, law, shard, slot, grown_shard.
+def place_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = 20) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text, ...) with all their columns, shard and slot, written by shard.
 
-    Documents with equal texts are linked (NULL counts as empty). The law is ``bytes``: a shard's capacity
-    for linked documents is an even part of all bytes. Slots number the documents of a shard by doc_id,
-    NULL first; rows with one doc_id have slots of their own. No rows give no rows; other columns are left.
+    Documents with equal texts are linked (NULL counts as empty). A shard's capacity for linked documents is an
+    even part of all bytes. Slots number the documents of a shard by doc_id, NULL first; rows with one doc_id have
+    slots of their own. Shards are found without the texts, which then move once, by the number of their row.
+    Columns named shard and slot are replaced. No rows give no rows.
     """
-    base = staged(docs.select(
-        "doc_id", text_bytes().alias("size"), F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
+    kept = [c for c in docs.columns if c.lower() not in ("shard", "slot")]
+    row = fresh(docs, "_row")
+    numbered = staged(docs.select(*[F.col(f"`{c}`") for c in kept]).withColumn(row, F.monotonically_increasing_id()), "numbered")
+    base = staged(numbered.select(
+        F.col(row).alias("_of"), "doc_id", text_bytes().alias("size"), F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
         F.md5(F.coalesce("text", F.lit(""))).alias("group")), "texts")
     total = base.agg(F.sum("size")).first()[0] or 0
     several = staged(base.groupBy("group").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
@@ -127,7 +131,19 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = 20) ->
     linked = staged(linked, "linked")
     loads = dict.fromkeys(range(shards), 0) | {r[0]: r[1] for r in linked.groupBy("shard").agg(
         F.sum("size")).collect()}
-    placed = linked.union(fill(base.join(several, same, "left_anti"), loads))
-    return (running(placed, ["shard"], ["doc_id", "text_crc32"], "slot", label="slots")
-            .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
-                    F.lit(None).cast("int").alias("grown_shard")))
+    found = linked.union(fill(base.join(several, same, "left_anti"), loads))
+    of = fresh(numbered, "_of")
+    found = (running(found, ["shard"], ["doc_id", "text_crc32"], "slot", label="slots")
+             .select(F.col("_of").alias(of), "shard", "slot"))
+    path = scratch_dir(docs.sparkSession, "shards")
+    out = numbered.join(found, F.col(row) == F.col(of)).select(*[F.col(f"`{c}`") for c in kept], "shard", "slot")
+    out.write.partitionBy("shard").parquet(path)
+    return docs.sparkSession.read.schema(out.schema).parquet(path)
+
+
+def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = 20) -> DataFrame:
+    """A row per row of the shards of ``place_documents``, from what was written: doc_id, size, text_crc32, law
+    (``bytes``), shard, slot, grown_shard."""
+    return place_documents(docs, shards, rounds).select(
+        "doc_id", text_bytes().alias("size"), F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
+        F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
