@@ -93,11 +93,70 @@ least AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
 SELECT s.doc_id, s.n_shingles, least(s.doc_id, l.b) AS component_id FROM sized s LEFT JOIN least l ON s.doc_id = l.a
 """
 
+CONVERSATIONS = r"""
+WITH RECURSIVE hashed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce(
+           list_concat([4294967295], list_transform(
+             string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ascii(c)::BIGINT)),
+           lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, ignored: xor(x >> 1, 3988292384 * (x & 1)))),
+           4294967295) % 20 AS kind
+  FROM conversations),
+kept AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM hashed WHERE kind <> 0),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS rn FROM kept),
+judged AS (
+  SELECT *, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY rn) > 1 AS again,
+         regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) NOT IN ('', '.', '!', '?') AS cut,
+         coalesce(lag(role[1:1]) OVER (PARTITION BY conv_id ORDER BY rn) || role[1:1] NOT IN ('su', 'ua', 'au'), false) AS illegal
+  FROM numbered),
+counted AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (blank) AS blank, count(*) FILTER (again AND NOT blank) AS duplicate,
+         count(*) FILTER (cut AND NOT again AND NOT blank) AS truncated, count(*) FILTER (illegal) AS illegal
+  FROM judged GROUP BY conv_id),
+acts(f, t, letter, needs, price, gives) AS (VALUES
+  (0, 0, 'D', NULL, 4, NULL), (1, 1, 'D', NULL, 4, NULL), (2, 2, 'D', NULL, 4, NULL), (3, 3, 'D', NULL, 4, NULL),
+  (0, 2, 'R', NULL, 3, 'user'), (1, 2, 'R', NULL, 3, 'user'), (2, 3, 'R', NULL, 3, 'assistant'), (3, 2, 'R', NULL, 3, 'user'),
+  (0, 1, 'K', 's', 0, NULL), (0, 2, 'K', 'u', 0, NULL), (1, 2, 'K', 'u', 0, NULL), (2, 3, 'K', 'a', 0, NULL), (3, 2, 'K', 'u', 0, NULL)),
+inserts(f, t, letters, added) AS (VALUES
+  (0, 0, '', []::VARCHAR[]), (1, 1, '', []), (2, 2, '', []), (3, 3, '', []),
+  (0, 2, 'I', ['user:']), (0, 3, 'II', ['user:', 'assistant:']), (1, 2, 'I', ['user:']), (1, 3, 'II', ['user:', 'assistant:']),
+  (2, 3, 'I', ['assistant:']), (3, 2, 'I', ['user:'])),
+ways AS (
+  SELECT conv_id, 0::BIGINT AS i, 0 AS state, {'cost': 0::BIGINT, 'audit': '', 'lines': []::VARCHAR[]} AS best FROM counted
+  UNION ALL
+  SELECT w.conv_id, w.i + 1, a.t, min({
+           'cost': (w.best.cost + 3 * length(s.letters) + a.price + CASE WHEN a.letter <> 'D' AND r.cut THEN 3 ELSE 0 END)::BIGINT,
+           'audit': w.best.audit || s.letters || a.letter,
+           'lines': list_concat(w.best.lines, s.added, CASE a.letter WHEN 'D' THEN [] ELSE [coalesce(a.gives, r.role) || ':' || r.text] END)})
+  FROM ways w JOIN inserts s ON s.f = w.state
+  JOIN judged r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.rn = w.i + 1
+  JOIN acts a ON a.f = s.t AND (a.letter = 'D' OR NOT r.blank AND NOT r.again AND (a.letter = 'R' OR a.needs = r.role[1:1]))
+  GROUP BY w.conv_id, w.i, a.t),
+ended AS (
+  SELECT w.conv_id, min({'cost': (w.best.cost + 3 * length(s.letters))::BIGINT, 'audit': w.best.audit || s.letters,
+                         'lines': list_concat(w.best.lines, s.added)}) AS best
+  FROM ways w JOIN counted c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.n = w.i
+  JOIN inserts s ON s.f = w.state AND s.t IN (0, 3) GROUP BY w.conv_id)
+SELECT o.conv_id, coalesce(c.gaps, 0)::BIGINT AS gaps, coalesce(c.blank, 0)::BIGINT AS blank, coalesce(c.duplicate, 0)::BIGINT AS duplicate,
+       coalesce(c.truncated, 0)::BIGINT AS truncated, coalesce(c.illegal, 0)::BIGINT AS illegal, coalesce(e.best.cost, 0)::BIGINT AS cost,
+       coalesce(e.best.audit, '') AS audit, sha256(coalesce(array_to_string(e.best.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
 ORACLES = {
     "op1_near_duplicates": NEAR_DUPLICATES,
     "op2_source_mix": SOURCE_MIX,
     "op7_ngram_jaccard": JACCARD,
     "op8_hamming_topk": HAMMING,
+    "op13_conversation_repair": CONVERSATIONS,
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
 from weblens.llm.common import documents
+from weblens.llm.conversations import audited_conversations
 from weblens.llm.hamming import nearest_codes, sign_codes
 from weblens.llm.mixing import mix
 from weblens.llm.neardup import near_duplicates
@@ -14,9 +15,11 @@ from weblens.llm.ngram_join import jaccard_components
 from weblens.llm.packing import pack_documents
 from weblens.llm.pii import surrogate_pii
 from weblens.llm.quality import score_quality
+from weblens.llm.secret_scan import KINDS, Rule, listed, of_kind, scan_secrets
 from weblens.llm.sharding import shard_documents
 from weblens.llm.simple8b import binary_output
 from weblens.llm.toxicity import score_toxicity
+from weblens.llm.whitening import whitened_components
 
 NEAREST = 10
 
@@ -71,6 +74,24 @@ def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "text", "pii_kinds", "pii_spans")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = whitened_components(_table(spark, sf_dir, "embeddings"), 4)
+    return done.select("vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
+
+
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rule = Rule(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    spans = F.col("secrets")
+    return scan_secrets(documents(spark, sf_dir).select("doc_id", "text"), rule).select(
+        "doc_id", *[of_kind(spans, kind).alias(f"n_{kind}") for kind in KINDS],
+        F.sha2(listed(F.filter(spans, lambda s: s["kind"] != "random")), 256).alias("base_sha256"),
+        listed(spans).alias("spans"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audited_conversations(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_near_duplicates, op2_source_mix, op3_quality, op4_simple8b, op5_shards, op6_toxicity, op7_ngram_jaccard,
-    op8_hamming_topk, op9_packing, op10_surrogates)} | {"pipeline": corpus_pipeline.run}
+    op8_hamming_topk, op9_packing, op10_surrogates, op11_whitening, op12_secret_scan, op13_conversation_repair)} | {"pipeline": corpus_pipeline.run}
