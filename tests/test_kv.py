@@ -3,7 +3,11 @@
 import json
 import os
 
-from weblens.operators.kv import CellTable, CounterTable, lookup, scan_prefix
+import pytest
+from pyspark.sql import functions as F
+
+from weblens.operators import kv
+from weblens.operators.kv import CellTable, CounterTable, increment_together, lookup, scan_prefix
 
 
 def deltas(spark, **values):
@@ -54,7 +58,7 @@ def test_lookup_defaults(spark, tmp_path):
     table = CounterTable(spark, str(tmp_path / "t"))
     table.increment(deltas(spark, a=3), "s", 0)
     keys = spark.createDataFrame([("a",), ("absent",), ("a",)], "row_key STRING")
-    found = lookup(table.totals(), keys)
+    found = lookup(table, keys)
     assert sorted(tuple(r) for r in found.collect()) == [("a", 3), ("absent", 0)]
 
 
@@ -68,8 +72,7 @@ def test_prefix_scan_emits_json_and_pushes_the_prefix(spark, tmp_path):
     plan = scan._jdf.queryExecution().executedPlan().toString()
     assert "StringStartsWith(row_key,20181207)" in plan
     assert "StartsWith(key_day" in plan.split("PartitionFilters: [")[1].split("]")[0]
-    assert os.path.isdir(tmp_path / "t" / "stream_id=s" / "batch_id=0")
-
+    assert os.path.isdir(tmp_path / "t" / "log" / "stream_id=s" / "batch_id=0")
 
 
 def test_a_batch_is_one_file_per_day_whatever_its_partitions(spark, tmp_path):
@@ -77,7 +80,7 @@ def test_a_batch_is_one_file_per_day_whatever_its_partitions(spark, tmp_path):
     CounterTable(spark, str(tmp_path / "t")).increment(many, "s", 0)
     table = CellTable(spark, str(tmp_path / "c"))
     table.put(many, 0)
-    for folder in ("t", "c"):
+    for folder in ("t/log", "c/cells"):
         assert len(list((tmp_path / folder).rglob("*.parquet"))) == 2
     assert table.totals("20181201_1").count() == len([i for i in range(1, 640, 2) if str(i).startswith("1")])
     assert table.totals().count() == 640
@@ -89,3 +92,179 @@ def test_keys_that_are_no_days(spark, tmp_path):
     table.increment(spark.createDataFrame([*odd.items(), (None, 5)], "row_key STRING, delta BIGINT"), "s", 0)
     assert values(table) == {**odd, None: 5}
     assert [r.row_key for r in scan_prefix(table, "a/b").collect()] == ["a/b=c"]
+
+
+# --- whole batches ------------------------------------------------------------------------------
+
+def test_a_reader_between_the_steps_of_a_batch_sees_whole_batches(spark, tmp_path):
+    tables = [CounterTable(spark, str(tmp_path / n), commits=str(tmp_path / "commits")) for n in "ab"]
+    increment_together({t: deltas(spark, x=1) for t in tables}, "s", 0)
+    marker = tables[0].markers
+    for batch, first, second in ((1, {"x": 10, "y": 1}, {"x": 20}), (0, {"x": 5}, {"x": 7})):
+        before = [values(t) for t in tables]
+        attempt = marker.next_attempt("s", batch)
+        tables[0]._stage(deltas(spark, **first), "s", batch, attempt)
+        assert [values(t) for t in tables] == before
+        tables[1]._stage(deltas(spark, **second), "s", batch, attempt)
+        assert [values(t) for t in tables] == before
+        marker.commit("s", batch, attempt)
+    assert [values(t) for t in tables] == [{"x": 15, "y": 1}, {"x": 27}]
+
+
+def test_a_failed_write_leaves_the_old_batch(spark, tmp_path):
+    table = CounterTable(spark, str(tmp_path / "t"))
+    table.increment(deltas(spark, x=1), "s", 0)
+    broken = spark.range(1).select(F.lit("x").alias("row_key"), F.raise_error(F.lit("lost")).cast("bigint").alias("delta"))
+    with pytest.raises(Exception, match="lost"):
+        table.increment(broken, "s", 0)
+    assert values(table) == {"x": 1}
+    table.increment(deltas(spark, x=3), "s", 0)
+    assert values(table) == {"x": 3}
+
+
+def test_tables_as_of_the_same_batches(spark, tmp_path):
+    tables = [CounterTable(spark, str(tmp_path / n), commits=str(tmp_path / "commits")) for n in "ab"]
+    increment_together({t: deltas(spark, x=1) for t in tables}, "s", 0)
+    seen = tables[0].markers.batches()
+    first = tables[0].totals(batches=seen).collect()
+    increment_together({t: deltas(spark, x=1) for t in tables}, "s", 1)
+    assert first[0]["value"] == 1 == tables[1].totals(batches=seen).first()["value"]
+    assert values(tables[1]) == {"x": 2}
+
+
+def test_tables_without_common_commits(spark, tmp_path):
+    tables = [CounterTable(spark, str(tmp_path / n)) for n in "ab"]
+    with pytest.raises(ValueError, match="commits"):
+        increment_together({t: deltas(spark, x=1) for t in tables}, "s", 0)
+
+
+# --- folding closed days ------------------------------------------------------------------------
+
+DAYS = ("20181207", "20181208", "20181209")
+
+
+def test_fold_keeps_totals_through_replays_late_clicks_and_sweeps(spark, tmp_path):
+    table = CounterTable(spark, str(tmp_path / "t"))
+    expected = {}
+
+    def add(batch, again=False, stream="s", **rows):
+        table.increment(deltas(spark, **rows), stream, batch)
+        for key, n in rows.items():
+            expected[key] = expected.get(key, 0) + (0 if again else n)
+        assert values(table) == expected
+
+    def day_files(day):
+        return [f for f in (tmp_path / "t").rglob("*.parquet") if f"key_day={day}" in str(f)]
+
+    for batch in range(4):
+        add(batch, **{f"{d}_{c}": batch + i for i, d in enumerate(DAYS) for c in (1, 2)})
+    assert len(day_files(DAYS[0])) == 4
+    assert table.fold(DAYS[2]) and values(table) == expected
+    assert not table.fold(DAYS[2])
+    assert table.sweep() == 8 and values(table) == expected
+    assert len(day_files(DAYS[0])) == 1 and len(day_files(DAYS[2])) == 4
+    add(2, again=True, **{f"{d}_{c}": 2 + i for i, d in enumerate(DAYS) for c in (1, 2)})  # replays a folded batch
+    add(4, **{f"{DAYS[0]}_1": 100, f"{DAYS[0]}_3": 1, f"{DAYS[2]}_1": 5})  # late clicks, and a new key of a folded day
+    add(0, stream="other", **{f"{DAYS[1]}_1": 7})
+    assert table.fold(DAYS[2]) and values(table) == expected
+    table.sweep()
+    assert values(table) == expected and len(day_files(DAYS[0])) == 1 == len(day_files(DAYS[1]))
+    assert {r.row_key: r.value for r in table.totals(DAYS[0]).collect()} == {k: v for k, v in expected.items() if k.startswith(DAYS[0])}
+    assert table.fold("9") and table.sweep() and values(table) == expected
+
+
+def test_files_of_a_day_do_not_grow_with_batches(spark, tmp_path):
+    table = CounterTable(spark, str(tmp_path / "t"))
+    for batch in range(6):
+        table.increment(deltas(spark, **{f"{DAYS[0]}_{batch % 2}": 1}), "s", batch)
+        table.fold(DAYS[1])
+        table.sweep()
+        assert len([f for f in (tmp_path / "t").rglob("*.parquet") if "key_day" in str(f)]) == 1
+    assert values(table) == {f"{DAYS[0]}_0": 3, f"{DAYS[0]}_1": 3}
+
+
+def test_fold_of_odd_keys(spark, tmp_path):
+    table = CounterTable(spark, str(tmp_path / "t"))
+    odd = {"": 1, "a/b=c d": 2, "ü%20": 3, "007": 4, "-": 5}
+    rows = spark.createDataFrame([*odd.items(), (None, 6)], "row_key STRING, delta BIGINT")
+    for batch in range(2):
+        table.increment(rows, "s", batch)
+    assert table.fold("~") and table.sweep() > 0
+    assert values(table) == {k: 2 * v for k, v in [*odd.items(), (None, 6)]}
+    found = {r.row_key: r.value for r in lookup(table, spark.createDataFrame([("",), ("007",), ("a/b=c d",)], "row_key STRING")).collect()}
+    assert found == {"": 2, "007": 8, "a/b=c d": 4}
+
+
+# --- lookups of days ----------------------------------------------------------------------------
+
+@pytest.mark.parametrize("kind", ["counter", "folded", "cell"])
+def test_lookup_reads_the_days_of_its_keys_only(spark, tmp_path, kind):
+    n, path = 20, str(tmp_path / kind)
+    days = [f"201812{d:02d}" for d in range(1, n + 1)]
+    rows = {f"{d}_{c}": 1 for d in days for c in range(3)}
+    if kind == "cell":
+        table = CellTable(spark, path)
+        table.put(cells(spark, **rows), 0)
+    else:
+        table = CounterTable(spark, path)
+        table.increment(deltas(spark, **rows), "s", 0)
+        if kind == "folded":
+            table.fold("2019")
+    keys = spark.createDataFrame([(f"{days[3]}_1",), (f"{days[3]}_9",), (f"{days[7]}_2",)], "row_key STRING")
+    whole = "spark.sql.maxMetadataStringLength"
+    spark.conf.set(whole, 10_000)
+    plan = lookup(table, keys)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset(whole)
+    scans = [line for line in plan.splitlines() if "FileScan parquet [row_key" in line]
+    assert scans and all("dynamicpruningexpression(key_day" in line for line in scans)
+    # What another day holds is not even opened.
+    for file in (tmp_path / kind).rglob(f"key_day={days[12]}/*.parquet"):
+        file.write_bytes(b"not a parquet file")
+    assert {r.row_key: r.value for r in lookup(table, keys).collect()} == {f"{days[3]}_1": 1, f"{days[3]}_9": 0, f"{days[7]}_2": 1}
+
+
+def test_lookup_of_more_days_than_are_broadcast(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(kv, "BROADCAST_DAYS", 2)
+    table = CounterTable(spark, str(tmp_path / "t"))
+    table.increment(deltas(spark, **{f"2018120{d}_1": d for d in range(1, 6)}), "s", 0)
+    keys = spark.createDataFrame([(f"2018120{d}_1",) for d in range(1, 8)], "row_key STRING")
+    assert {r.row_key: r.value for r in lookup(table, keys).collect()} == {f"2018120{d}_1": d if d < 6 else 0 for d in range(1, 8)}
+
+
+# --- cells --------------------------------------------------------------------------------------
+
+def test_a_put_reads_its_own_row_of_the_registry_only(spark, tmp_path):
+    table = CellTable(spark, str(tmp_path / "t"))
+    for version in range(3):
+        table.put(cells(spark, a=version), version, "one")
+        table.put(cells(spark, b=version), version, "two")
+    assert values(table) == {"a": 2, "b": 2}
+    for file in [*(tmp_path / "t" / "cells").rglob("*.parquet"), *(tmp_path / "t" / "streams" / "stream_id=two").rglob("*.parquet")]:
+        file.write_bytes(b"not a parquet file")
+    table.put(cells(spark, c=1), 3, "one")  # reads none of those
+    assert len(list((tmp_path / "t" / "streams").rglob("*.parquet"))) == 2
+
+
+def test_a_put_runs_its_input_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+    table = CellTable(spark, str(tmp_path / "t"))
+    rows = cells(spark, a=1, b=2, c=3).mapInArrow(count, "row_key STRING, value BIGINT")
+    table.put(rows, 0)
+    assert seen.value == 3 and len(values(table)) == 3
+
+
+def test_parts_of_a_cell_add_up(spark, tmp_path):
+    table = CellTable(spark, str(tmp_path / "t"))
+
+    def parts(*rows):
+        return spark.createDataFrame(rows, "row_key STRING, segment STRING, value BIGINT")
+    table.put(parts(("a", "1", 3), ("a", "2", 4), ("b", "1", 1)), 0, "s")
+    table.put(parts(("a", "1", 5)), 1, "s")
+    assert values(table) == {"a": 9, "b": 1}
+    table.put(parts(("a", "9", 2)), 0, "later")  # a later stream wins with the parts it has
+    assert values(table) == {"a": 2, "b": 1}

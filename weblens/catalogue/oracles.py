@@ -230,6 +230,8 @@ FROM clicks WHERE host <> '' GROUP BY 1""",
     "stream_running_totals": f"WITH {_COURSES} SELECT row_key, clicks FROM courses",
     "kv_increment": f"""WITH {_COURSES}
 SELECT row_key, 'info' AS cf, 'click_count' AS qualifier, clicks AS value FROM courses""",
+    "kv_fold": f"WITH {_COURSES} SELECT row_key, clicks FROM courses",
+    "stream_batch_counts": "SELECT 3::BIGINT AS batches, count(*)::BIGINT AS lines, 0::BIGINT AS rejects FROM events",
     "kv_upsert": f"""WITH {_CLICKS},
 every_day AS (SELECT "courseId", count(*) AS n FROM clicks GROUP BY 1),
 late AS (SELECT "courseId", count(*) AS n FROM clicks WHERE substring(day, 7, 2) > '15' GROUP BY 1)

@@ -477,7 +477,7 @@ def udf_udaf_report(spark, sf_dir):
 # --- streams and counter tables -----------------------------------------------------------------
 
 def _click_tables(spark, folder):
-    return CounterTable(spark, f"{folder}/course"), CounterTable(spark, f"{folder}/referrer")
+    return tuple(CounterTable(spark, f"{folder}/{name}", commits=f"{folder}/commits") for name in ("course", "referrer"))
 
 
 def _feeds(spark, sf_dir, folder):
@@ -540,6 +540,31 @@ def kv_increment(spark, sf_dir):
     return _counters(spark, sf_dir).totals()
 
 
+@query
+def kv_fold(spark, sf_dir):
+    """The days up to the middle of the month are folded after the first delivery, again after the second, and both
+    deliveries are replayed after that: the totals are those of one write each."""
+    table = CounterTable(spark, scratch_dir(spark, "counters"))
+    for batch, late in enumerate((False, True)):
+        table.increment(_deltas(spark, sf_dir, late), "feed", batch)
+        table.fold("20240116")
+    table.increment(_deltas(spark, sf_dir, False), "feed", 0)
+    table.sweep()
+    return table.totals().select("row_key", F.col("value").alias("clicks"))
+
+
+@query
+def stream_batch_counts(spark, sf_dir):
+    """Lines and rejects that the stream stored with its batches, over a backlog read one file at a time."""
+    folder = scratch_dir(spark, "clicks")
+    courses, referrers = _click_tables(spark, folder)
+    fx.click_lines(_events(spark, sf_dir)).select("value").repartition(6).write.text(f"{folder}/lines")
+    cs.start_click_counters(cs.file_lines(spark, f"{folder}/lines", max_files=2), courses, referrers,
+                            f"{folder}/checkpoint", "clicks", once=True).awaitTermination()
+    return courses.markers.batches().agg(F.count(F.lit(1)).alias("batches"), F.sum("lines").alias("lines"),
+                                         F.sum("rejects").alias("rejects"))
+
+
 @query
 def kv_upsert(spark, sf_dir):
     """The clicks per course of all days, then of the late days only: the later value wins."""
@@ -558,7 +583,7 @@ def kv_lookup(spark, sf_dir):
     """Every user on every day they did anything; on some they clicked no course."""
     keys = (_events(spark, sf_dir)
             .select(composite_key(F.date_format("ts", "yyyyMMdd"), "user_id").alias("row_key")))
-    return lookup(_counters(spark, sf_dir).totals(), keys)
+    return lookup(_counters(spark, sf_dir), keys)
 
 
 @query

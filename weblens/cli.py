@@ -43,14 +43,18 @@ def _parser() -> argparse.ArgumentParser:
     job("salaries", "emp_table", "target")
     job("clicks-kafka", "servers", "topics", "tables", "checkpoint", "stream_id", kafka_option=[])
     job("clicks-files", "folder", "tables", "checkpoint", "stream_id")
+    job("fold-clicks", "tables", "before", sweep=False)
     return parser
 
 
+def click_tables(spark: SparkSession, folder: str) -> tuple[CounterTable, CounterTable]:
+    """The counters per course and per referrer under ``folder``, with the markers they share."""
+    return tuple(CounterTable(spark, f"{folder}/{name}", commits=f"{folder}/commits")
+                 for name in ("course_click_count", "course_search_click_count"))
+
+
 def _stream(spark: SparkSession, lines, args) -> None:
-    start_click_counters(
-        lines, CounterTable(spark, f"{args.tables}/course_click_count"),
-        CounterTable(spark, f"{args.tables}/course_search_click_count"),
-        args.checkpoint, args.stream_id).awaitTermination()
+    start_click_counters(lines, *click_tables(spark, args.tables), args.checkpoint, args.stream_id).awaitTermination()
 
 
 def run(spark: SparkSession, argv: list[str]) -> None:
@@ -79,6 +83,11 @@ def run(spark: SparkSession, argv: list[str]) -> None:
         _stream(spark, kafka_lines(spark, args.servers, args.topics.split(","), options), args)
     elif args.job == "clicks-files":
         _stream(spark, file_lines(spark, args.folder), args)
+    elif args.job == "fold-clicks":
+        for table in click_tables(spark, args.tables):
+            table.fold(args.before)
+            if args.sweep:
+                table.sweep()
 
 
 def main() -> None:

@@ -28,5 +28,13 @@ DAY_VIDEO = _struct(day=_S, cms_id=_L, times=_L)
 DAY_CITY_VIDEO = _struct(day=_S, cms_id=_L, city=_S, times=_L, times_rank=_I)
 DAY_TRAFFIC = _struct(day=_S, cms_id=_L, traffics=_L)
 
-COUNTER_DELTA = _struct(row_key=_S, delta=_L, stream_id=_S, batch_id=_L, key_day=_S)
-CELL_VERSION = _struct(row_key=_S, value=_L, epoch=_L, stream_id=_S, version=_L, key_day=_S)
+# Counter and cell tables, and their markers; partition columns come last.
+COUNTER_DELTA = _struct(row_key=_S, delta=_L, stream_id=_S, batch_id=_L, attempt=_I, key_day=_S)
+COUNTER_BASE = _struct(row_key=_S, value=_L, generation=_I, key_day=_S)
+BATCH_COMMIT = _struct(attempt=_I, lines=_L, rejects=_L, stream_id=_S, batch_id=_L)
+FOLDED = _struct(generation=_I, key_day=_S, stream_id=_S, batch_id=_L)
+CELL_VERSION = _struct(row_key=_S, segment=_S, value=_L, epoch=_L, stream_id=_S, version=_L, key_day=_S)
+CELL_STREAM = _struct(epoch=_L, stream_id=_S)
+
+# Which run of the daily statistics holds a day.
+STAT_RUN = _struct(day=_S, run=_L)
