@@ -156,8 +156,10 @@ def brute_force(number, ranges):
     return next((name for lo, hi, name in ranges if number is not None and lo <= number <= hi), None)
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 3])
-def test_region_lookup_by_broadcast_and_by_shuffle(spark, limit, no_auto_broadcast):
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_region_lookup_by_broadcast_and_by_shuffle(spark, threshold, no_auto_broadcast):
+    """Bytes decide: the threshold Spark has for the size of a broadcast."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     rng = random.Random(11)
     cuts = sorted(rng.sample(range(1 << 22), 200))
     table = [(lo, hi - 1 - rng.randrange(2), f"r{i}")
@@ -167,15 +169,43 @@ def test_region_lookup_by_broadcast_and_by_shuffle(spark, limit, no_auto_broadca
     rows = [(i, ".".join(str(n >> s & 255) for s in (24, 16, 8, 0))) for i, n in enumerate(ips)]
     rows += [(len(rows), "not an address"), (len(rows) + 1, None)]
     df = spark.createDataFrame(rows, "id INT, ip STRING")
-    found = geo.with_region(df, spark.createDataFrame(table, schemas.IP_RANGE),
-                            max_broadcast_rows=limit, salts=4)
+    ranges = spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(lo).cast("bigint").alias("lo"), F.lit(hi).cast("bigint").alias("hi"),
+                                                             F.lit(name).alias("region")) for lo, hi, name in table])))
+    found = geo.with_region(df, ranges)
     got = {r.id: r.region for r in found.collect()}
     assert len(got) == len(rows) == found.count()
     assert got == {i: brute_force(n, table) for i, n in enumerate(ips)} | {
         len(ips): None, len(ips) + 1: None}
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
-    assert ("SortMergeJoin" in plan) == (limit == 3)
+    assert ("SortMergeJoin" in plan) == (threshold == "-1")
+
+
+def test_lookup_runs_nothing_while_it_is_built(spark, ranges):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(1)
+            yield batch
+    ips = spark.createDataFrame([("10.0.0.1",)], "ip STRING")
+    found = geo.with_region(ips, ranges.mapInArrow(count, ranges.schema))
+    assert seen.value == 0
+    found.collect()
+    assert seen.value > 0
+
+
+def test_a_hot_cell_and_bad_addresses_spread(spark, no_auto_broadcast):
+    """Rows without a cell do not share one, and internal names leave the caller's columns alone."""
+    rows = [("10.0.0.1", i) for i in range(300)] + [("nowhere", i) for i in range(300)] + [(None, 1)]
+    df = spark.createDataFrame(rows, "ip STRING, n INT")
+    for name in ("_ip", "_block", "_cell", "_of", "_region", "_lo", "_bits"):
+        df = df.withColumn(name, F.lit(name))
+    ranges = spark.createDataFrame([((10 << 24), (10 << 24) + 5, "home")], schemas.IP_RANGE)
+    found = geo.with_region(df, ranges)
+    assert found.columns == [*df.columns, "region"]
+    assert found.filter("_ip = '_ip' AND _cell = '_cell' AND _lo = '_lo'").count() == len(rows)
+    assert found.groupBy("region").count().orderBy("region").collect() == [(None, 301), ("home", 300)]
 
 
 def test_cells_fit_dense_and_wide_ranges(spark):

@@ -3,7 +3,7 @@
 import random
 import re
 from datetime import datetime, timedelta
-from decimal import ROUND_HALF_UP, Decimal
+from decimal import ROUND_HALF_UP, Decimal, localcontext
 
 import pytest
 from pyspark.sql import functions as F
@@ -130,19 +130,24 @@ def test_ipv4(spark):
 
 
 def model_format(value, scale):
-    rounded = Decimal(value).quantize(Decimal(1).scaleb(-scale), ROUND_HALF_UP)
+    with localcontext() as context:
+        context.prec = 400
+        rounded = Decimal(value).quantize(Decimal(1).scaleb(-scale), ROUND_HALF_UP)
     plain = format(rounded, "f")
     if "." in plain:
         plain = plain.rstrip("0").rstrip(".")
     return re.sub(r"^-0$", "0", plain)
 
 
-@pytest.mark.parametrize("scale", [0, 1, 2, 8])
+@pytest.mark.parametrize("scale", [-3, -1, 0, 1, 2, 8, 18, 19, 25, 30])
 def test_format_double_matches_model(spark, scale):
     rng = random.Random(scale)
     values = ["2175.0", "1500.04", "1500.05", "0", "0.00", "-0.04", "100", "1E+3", "-2.5", "2.5"]
     values += [f"{rng.uniform(-1e6, 1e6):.{rng.randrange(6)}f}" for _ in range(200)]
-    expected = [model_format(v, scale) for v in values]
+    values += ["9" * n + "." + "9" * m for n in range(4) for m in (1, 17, 18, 19, 30)] + ["0.4999999999999999999", "0.5", "-.5", "5.", " 7 "]
+    values += ["".join(rng.choice("0123456789") for _ in range(30)) + "." + "".join(rng.choice("059") for _ in range(30)) for _ in range(100)]
+    values += [f"{rng.choice('+-')}{rng.randrange(10 ** 9)}e{rng.randrange(-40, 40)}" for _ in range(100)] + ["-0.0", "1E-30", "1.0E10", "0e9"]
+    expected = [model_format(v.strip(), scale) for v in values]
     assert evaluate(spark, values, numbers.format_double("v", scale)) == expected
 
     numbers.register_sql_functions(spark)
@@ -155,8 +160,10 @@ def test_format_double_edges(spark):
     assert evaluate(spark, [2175.0, 1500.04], numbers.format_double("v", 1), "DOUBLE") == [
         "2175", "1500"]
     assert evaluate(spark, ["12355"], numbers.format_double("v", -1)) == ["12360"]
-    with pytest.raises(ValueError):
-        numbers.format_double("v", 19)
+    assert evaluate(spark, ["0.4999999999999999999"], numbers.format_double("v", 0)) == ["0"]
+    assert evaluate(spark, ["", ".", "e5", "1e", "1.2.3", "--1", "NaN", "Infinity", "1e99999", "１"], numbers.format_double("v", 2)) == [None] * 10
+    assert evaluate(spark, [float("nan"), float("inf"), 1e300, 5e-324], numbers.format_double("v", 1), "DOUBLE") == [
+        None, None, "1" + "0" * 300, "0"]
 
 
 def test_sql_functions_are_inlined(spark):

@@ -5,7 +5,9 @@ import glob
 import pytest
 
 from weblens import cli, schemas
+from weblens.operators.kv import increment_together
 from weblens.plans import access, reports
+from weblens.sources.writers import read_stats
 from weblens.operators.clean import SITE
 
 
@@ -25,7 +27,7 @@ def test_access_jobs(spark, run, tmp_path, capsys):
     assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "rejects")).collect()] == [
         ("junk", "missing_field")]
     run("daily-stats", tmp_path / "clean", tmp_path / "stats", "20170511")
-    city = spark.read.parquet(str(tmp_path / "stats" / "day_video_city_access_topn_stat"))
+    city = read_stats(spark, str(tmp_path / "stats"), "city")
     assert {(r.day, r.cms_id, r.city, r.times, r.times_rank) for r in city.collect()} == {
         ("20170511", 1, "home", 2, 1), ("20170511", 2, None, 1, 1)}
 
@@ -97,3 +99,13 @@ def test_parser_knows_the_streaming_jobs():
                                      "--kafka_option", "maxOffsetsPerTrigger=1000"])
     assert args.kafka_option == ["kafka.group.id=g", "maxOffsetsPerTrigger=1000"]
     assert (args.job, args.topics, args.stream_id) == ("clicks-kafka", "a,b", "s1")
+
+
+def test_fold_clicks(spark, run, tmp_path):
+    tables = cli.click_tables(spark, str(tmp_path))
+    rows = spark.createDataFrame([("20181209_1", 2), ("20181210_1", 3)], "row_key STRING, delta BIGINT")
+    increment_together({table: rows for table in tables}, "s", 0)
+    run("fold-clicks", tmp_path, "20181210", "--sweep")
+    for table in tables:
+        assert {r.row_key: r.value for r in table.totals().collect()} == {"20181209_1": 2, "20181210_1": 3}
+        assert not [f for f in (tmp_path / table.path).rglob("log/**/key_day=20181209/*.parquet")]

@@ -136,6 +136,8 @@ def test_tables_without_common_commits(spark, tmp_path):
     tables = [CounterTable(spark, str(tmp_path / n)) for n in "ab"]
     with pytest.raises(ValueError, match="commits"):
         increment_together({t: deltas(spark, x=1) for t in tables}, "s", 0)
+    with pytest.raises(ValueError, match="together"):
+        CounterTable(spark, str(tmp_path / "a"), commits=str(tmp_path / "commits")).increment(deltas(spark, x=1), "s", 0)
 
 
 # --- folding closed days ------------------------------------------------------------------------

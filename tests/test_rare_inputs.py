@@ -7,7 +7,7 @@ from weblens.operators.geo import with_region
 from weblens.operators.kv import CellTable
 from weblens.operators.topn import top_n
 from weblens.plans import access, reports
-from weblens.sources.writers import STAT_TABLES
+from weblens.sources.writers import STAT_TABLES, read_stats
 from weblens.streaming import clicks as cs
 
 
@@ -48,8 +48,8 @@ def test_rerun_clears_an_empty_day(spark, tmp_path):
     fixed = spark.createDataFrame([("u", "article", *row[2:]), other], schema)
     for day in ("20240105", None):
         access.store_daily_stats(fixed, str(tmp_path), day)
-        for name in STAT_TABLES.values():
-            assert [r["day"] for r in spark.read.parquet(f"{tmp_path}/{name}").collect()] == ["20240106"]
+        for name in STAT_TABLES:
+            assert [r["day"] for r in read_stats(spark, str(tmp_path), name).collect()] == ["20240106"]
 
 
 @pytest.mark.parametrize("text, lines", [("", 0), ("bad\nworse\n", 2)])
@@ -61,18 +61,25 @@ def test_empty_and_all_rejected(spark, tmp_path, text, lines):
     assert counted["lines"] == lines
 
 
-@pytest.mark.parametrize("rows", [[(0, 9, "a"), (5, 12, "b")], [(9, 3, "a")], [(None, 3, "a")], [(0, 2 ** 32, "a")]])
-def test_invalid_ranges_raise(spark, rows):
+@pytest.mark.parametrize("rows, problem", [
+    ([(0, 9, "a"), (5, 12, "b")], "overlap"), ([(9, 3, "a")], "not within"), ([(None, 3, "a")], "not within"), ([(3, None, "a")], "not within"),
+    ([(0, 2 ** 32, "a")], "not within"), ([(0, 2 ** 62, "a")], "not within"), ([(0, 9, "a"), (0, 9, "a")], "overlap")])
+def test_invalid_ranges_fail_the_query(spark, rows, problem):
     ips = spark.createDataFrame([("0.0.0.5",)], "ip STRING")
-    with pytest.raises(ValueError):
-        with_region(ips, spark.createDataFrame(rows, "lo BIGINT, hi BIGINT, region STRING"))
+    found = with_region(ips, spark.createDataFrame(rows, "lo BIGINT, hi BIGINT, region STRING"))
+    with pytest.raises(Exception, match=problem):
+        found.collect()
 
 
-@pytest.mark.parametrize("bound", [0, 1000])
-def test_region_next_to_a_map(spark, bound):
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_region_next_to_a_map(spark, threshold):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, threshold)
     ips = spark.createDataFrame([("0.0.0.5", {"k": 1}), ("nowhere", {}), ("9.9.9.9", None)], "ip STRING, m MAP<STRING, INT>")
     ranges = spark.createDataFrame([(0, 9, "a")], "lo BIGINT, hi BIGINT, region STRING")
-    out = with_region(ips, ranges, max_broadcast_rows=bound).collect()
+    out = with_region(ips, ranges).collect()
+    spark.conf.set(key, before)
     assert {r["ip"]: r["region"] for r in out} == {"0.0.0.5": "a", "nowhere": None, "9.9.9.9": None}
 
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from weblens import schemas
+from weblens.operators.joins import join_emp_dept
 from weblens.plans import access as access_plan
 from weblens.session import scratch_dir
 from weblens.sources import jdbc, readers, writers
@@ -124,8 +125,8 @@ def test_replacing_a_day_keeps_the_others(spark, tmp_path):
     target = str(tmp_path / "stats")
 
     def stored():
-        return {name: sorted(tuple(r) for r in spark.read.parquet(f"{target}/{table}").collect())
-                for name, table in writers.STAT_TABLES.items()}
+        return {name: sorted(tuple(r) for r in writers.read_stats(spark, target, name).collect())
+                for name in writers.STAT_TABLES}
 
     access_plan.store_daily_stats(access, target)
     everything = stored()
@@ -136,6 +137,63 @@ def test_replacing_a_day_keeps_the_others(spark, tmp_path):
     assert len(stored()["video"]) == 6
 
 
+def test_a_run_that_fails_leaves_all_old_days(spark, tmp_path, monkeypatch):
+    """A failure after any step, and a reader between any two, meet the old rows or the new ones, never both."""
+    rows = [("u", "video", i, 1, "ip", "A", "t", day) for day in ("20170510", "20170511") for i in range(3)]
+    access, target = spark.createDataFrame(rows, schemas.CLEAN_ACCESS), str(tmp_path / "stats")
+    access_plan.store_daily_stats(access, target)
+
+    def stored():
+        return {name: sorted(tuple(r) for r in writers.read_stats(spark, target, name).collect()) for name in writers.STAT_TABLES}
+    old, seen, write, mark = stored(), [], writers.write_partitioned, writers.append_marker
+    fewer = access.filter("cmsId = 0")
+    for steps in range(4):
+        def fail(*args, left=[steps], then=write, **options):
+            if not left[0]:
+                raise OSError("lost")
+            left[0] -= 1
+            then(*args, **options)
+            seen.append(stored())
+        monkeypatch.setattr(writers, "write_partitioned", fail)
+        monkeypatch.setattr(writers, "append_marker", lambda *args: fail(*args, left=[0]))
+        with pytest.raises(OSError):
+            access_plan.store_daily_stats(fewer, target, "20170511")
+        assert stored() == old
+    monkeypatch.setattr(writers, "write_partitioned", write)
+    monkeypatch.setattr(writers, "append_marker", mark)
+    assert seen and all(s == old for s in seen)
+    access_plan.store_daily_stats(fewer, target, "20170511")
+    assert {name: [r for r in stored()[name] if r[0] == "20170511"] for name in writers.STAT_TABLES} == {
+        "video": [("20170511", 0, 1)], "city": [("20170511", 0, "A", 1, 1)], "traffic": [("20170511", 0, 1)]}
+    assert [r for r in stored()["video"] if r[0] == "20170510"] == [r for r in old["video"] if r[0] == "20170510"]
+    kept = stored()
+    assert writers.sweep_stats(spark, target) == 3 and stored() == kept
+
+
+def test_a_bucketed_table_is_joined_without_moving_it(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS weblens_buckets LOCATION '{tmp_path}'")
+    table, key = "weblens_buckets.emp", "spark.sql.autoBroadcastJoinThreshold"
+    emp = spark.range(1000).select(F.col("id").alias("empno"), (F.col("id") % 30).alias("deptno"))
+    writers.write_bucketed(emp, table, "deptno", 8)
+    stored = readers.read_table(spark, table)
+    dept = spark.range(25).select(F.col("id").alias("deptno"), F.concat(F.lit("d"), "id").alias("dname"))
+    before = spark.conf.get(key)
+    spark.conf.set(key, -1)
+    try:
+        joined = join_emp_dept(stored, dept)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        counted = stored.groupBy("deptno").count()._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == emp.filter("deptno < 25").count()
+    finally:
+        spark.conf.set(key, before)
+    assert "SelectedBucketsCount: 8 out of 8" in plan and plan.count("Exchange hashpartitioning") == 1
+    assert "Exchange" not in counted
+    statistics = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}["Statistics"]
+    assert "1000 rows" in statistics
+    assert {r.info_name: r.info_value for r in spark.sql(f"DESCRIBE EXTENDED {table} deptno").collect()}["distinct_count"] in ("29", "30", "31")
+    spark.sql("DROP DATABASE weblens_buckets CASCADE")
+
+
 def test_tables(spark, days):
     spark.sql("CREATE DATABASE IF NOT EXISTS weblens_test")
     writers.write_table(days.select("day", "id"), "weblens_test.days", "day")

@@ -33,6 +33,7 @@ def test_pv_uv_forms_agree(views):
     expected = {(d, pv[d], len(uv[d])) for d in {*pv, *uv}}
     assert as_set(stats.pv_uv_daily(views)) == expected
     assert as_set(stats.pv_uv_joined(stats.pv_daily(views), stats.uv_daily(views))) == expected
+    assert as_set(stats.pv_uv_full_join(views)) == expected
     assert {r[0] for r in expected} >= {"2013-06-02", "2013-06-03"}
     assert "2013-06-01" not in {r[0] for r in expected}
     by_distinct = stats.distinct_visitors(views).groupBy("date").count()
@@ -182,3 +183,13 @@ def test_line_and_token_totals(lines):
     stats.word_count(stats.observe_line_token_totals(df, seen)).collect()
     assert (seen.get["lines"], seen.get["tokens"]) == expected
     assert tuple(stats.line_token_totals(df.limit(0)).first()) == (0, 0)
+
+
+def test_both_sides_of_the_full_join_share_an_exchange(spark, tmp_path):
+    path = str(tmp_path / "views")
+    rows = [("d1", "u", "a"), ("d1", "", "b"), ("d1", "u", ""), ("d2", "u", ""), ("d3", "", "a"), ("d4", "", ""), ("d5", None, None), ("d1", "u", "a")]
+    spark.createDataFrame(rows, "date STRING, url STRING, guid STRING").write.parquet(path)
+    joined = stats.pv_uv_full_join(spark.read.parquet(path))
+    assert as_set(joined) == {("d1", 3, 2), ("d2", 1, 0), ("d3", 0, 1)}
+    plan = joined._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") == 1 and "ReusedExchange" in plan

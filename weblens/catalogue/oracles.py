@@ -147,7 +147,7 @@ FROM ({_PV_UV})""",
     "sink_csv": _TAXI_TOPN,
     "sink_stats": f"WITH {_STATS} SELECT * FROM stat",
     "sink_replace_day":
-        f"WITH {_STATS} SELECT stat_table, day, count(*) AS rows FROM stat GROUP BY ALL",
+        f"WITH {_STATS} SELECT stat_table, day, count(*) AS rows FROM stat WHERE day <> '20240107' GROUP BY ALL",
     "clean_access": f"WITH {_ACCESS} SELECT * FROM access",
     "clean_access_rejects": """SELECT CASE floor(value)::BIGINT % 5 WHEN 0 THEN 'bad_id'
     WHEN 1 THEN 'bad_traffic' WHEN 2 THEN 'no_site_prefix' WHEN 3 THEN 'short_time'

@@ -33,6 +33,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 DAY = "20240105"
+EMPTIED_DAY = "20240107"
 
 
 def query(fn: Query) -> Query:
@@ -125,10 +126,21 @@ def src_parquet_partitioned(spark, sf_dir):
     return access.groupBy("day").agg(F.count(F.lit(1)).alias("rows"))
 
 
+DATABASE = "weblens_queries"
+
+
+def _new_table(spark: SparkSession, name: str) -> str:
+    """The name of a table to be, in a database of the session that lies in the shared folder."""
+    if not spark.catalog.databaseExists(DATABASE):
+        spark.sql(f"CREATE DATABASE {DATABASE} LOCATION '{scratch_dir(spark, 'db')}'")
+    return f"{DATABASE}.{name}_{uuid.uuid4().hex}"
+
+
 def _catalog_emp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    view = f"weblens_emp_{uuid.uuid4().hex}"
-    _emp(spark, sf_dir).createOrReplaceTempView(view)
-    return readers.read_table(spark, view)
+    """The employees as a stored table, bucketed by department."""
+    table = _new_table(spark, "emp")
+    writers.write_bucketed(_emp(spark, sf_dir), table, "deptno", 8)
+    return readers.read_table(spark, table)
 
 
 @query
@@ -173,16 +185,9 @@ def sink_parquet(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-def _database(spark) -> str:
-    """A database whose managed tables lie in the shared folder."""
-    name = f"weblens_{uuid.uuid4().hex}"
-    spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_dir(spark, 'db')}'")
-    return name
-
-
 @query
 def sink_table_partitioned(spark, sf_dir):
-    table = f"{_database(spark)}.emp_dept"
+    table = _new_table(spark, "emp_dept")
     emp_dept_job(spark, _emp(spark, sf_dir), _dept(spark, sf_dir), scratch_dir(spark, "emp_dept"),
                  table)
     return readers.read_table(spark, table)
@@ -197,12 +202,8 @@ def sink_csv(spark, sf_dir):
 
 
 def _stored_stats(spark, folder) -> DataFrame:
-    kinds = {"video": schemas.DAY_VIDEO, "city": schemas.DAY_CITY_VIDEO,
-             "traffic": schemas.DAY_TRAFFIC}
-    tables = [
-        readers.read_partitioned(spark, f"{folder}/{writers.STAT_TABLES[name]}", schema)
-        .withColumn("stat_table", F.lit(writers.STAT_TABLES[name]))
-        for name, schema in kinds.items()]
+    tables = [writers.read_stats(spark, folder, name).withColumn("stat_table", F.lit(table))
+              for name, table in writers.STAT_TABLES.items()]
     video, city, traffic = tables
     return (video.unionByName(city, allowMissingColumns=True)
             .unionByName(traffic, allowMissingColumns=True)
@@ -218,11 +219,13 @@ def sink_stats(spark, sf_dir):
 
 @query
 def sink_replace_day(spark, sf_dir):
-    """All days are stored, then one of them again: every table keeps its rows per day."""
+    """All days are stored, then one of them again, then another one without its videos, which clears it: every table
+    keeps the rows of the other days."""
     folder = scratch_dir(spark, "stats")
     access = readers.read_partitioned(spark, _stored_access(spark, sf_dir), schemas.CLEAN_ACCESS)
     store_daily_stats(access, folder)
     store_daily_stats(access, folder, DAY)
+    store_daily_stats(access.filter("cmsType <> 'video'"), folder, EMPTIED_DAY)
     return (_stored_stats(spark, folder).groupBy("stat_table", "day")
             .agg(F.count(F.lit(1)).alias("rows")))
 
@@ -301,14 +304,13 @@ def preview(spark, sf_dir):
 
 @query
 def join_catalog_dept(spark, sf_dir):
-    """Employees from a catalog view with the department table."""
+    """Employees from a stored table, bucketed by department, with the departments."""
     return join_emp_dept(_catalog_emp(spark, sf_dir), _dept(spark, sf_dir))
 
 
 @query
 def pv_uv_full_join(spark, sf_dir):
-    views = _views(spark, sf_dir)
-    return stats.pv_uv_joined(stats.pv_daily(views), stats.uv_daily(views))
+    return stats.pv_uv_full_join(_views(spark, sf_dir))
 
 
 # --- aggregates and windows ---------------------------------------------------------------------

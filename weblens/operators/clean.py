@@ -86,15 +86,15 @@ def parse_access(lines: DataFrame, site: str = SITE) -> DataFrame:
                    F.col("time"), day.alias("day"), reason.alias("reason"))
 
 
-def accepted_access(parsed: DataFrame, ranges: DataFrame, **lookup) -> DataFrame:
+def accepted_access(parsed: DataFrame, ranges: DataFrame) -> DataFrame:
     """Good access rows with the region of their address as ``city``."""
-    located = with_region(accepted(parsed, ACCESS_FIELDS), ranges, "ip", "city", **lookup)
+    located = with_region(accepted(parsed, ACCESS_FIELDS), ranges, "ip", "city")
     return located.select(*schemas.CLEAN_ACCESS.fieldNames())
 
 
-def clean_access(lines: DataFrame, ranges: DataFrame, site: str = SITE, **lookup) -> Cleaned:
+def clean_access(lines: DataFrame, ranges: DataFrame, site: str = SITE) -> Cleaned:
     parsed = parse_access(lines, site)
-    return Cleaned(accepted_access(parsed, ranges, **lookup), rejected(parsed))
+    return Cleaned(accepted_access(parsed, ranges), rejected(parsed))
 
 
 # --- page views: time, url, guid, ... -----------------------------------------------------------

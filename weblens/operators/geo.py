@@ -53,40 +53,46 @@ def check_ranges(ranges: DataFrame) -> None:
         raise ValueError("the IP ranges overlap")
 
 
-def with_region(df: DataFrame, ranges: DataFrame, ip: str = "ip", out: str = "region",
-                max_broadcast_rows: int = 1_000_000, salts: int = 32) -> DataFrame:
-    """Add the region of ``ip`` as ``out``; NULL for an unknown or malformed address. Invalid ranges raise.
-
-    The cell sizes of the blocks are broadcast: there are at most 65,536 blocks. If the ranges have at
-    most ``max_broadcast_rows`` cell rows (counted, some 60 bytes each) they are broadcast too, and the
-    rows of ``df`` never move. Otherwise they are joined by shuffle on (block, cell, salt): the ranges are
-    repeated per salt, so that a cell with much of the traffic spreads over tasks.
-    """
-    check_ranges(ranges)
-    blocks = block_ranges(ranges)
-    sizes = blocks.groupBy(F.col("block").alias("_of")).agg(F.first("bits").alias("_bits"))
-    cells = range_cells(blocks).select(
-        F.col("block").alias("_in_block"), F.col("cell").alias("_in_cell"),
-        F.col("lo").alias("_lo"), F.col("hi").alias("_hi"), F.col("region").alias("_region"))
-
-    keyed = (df.withColumn("_ip", ipv4_to_long(ip))
-             .withColumn("_block", F.shiftright("_ip", BLOCK_BITS))
-             .join(F.broadcast(sizes), F.col("_block") == F.col("_of"), "left")
-             .withColumn("_cell", _shift(F.col("_ip"), F.col("_bits"))))
-    hit = ((F.col("_block") == F.col("_in_block")) & (F.col("_cell") == F.col("_in_cell"))
-           & F.col("_ip").between(F.col("_lo"), F.col("_hi")))
-
-    if cells.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows:
-        cells = F.broadcast(cells)
-    else:
-        # Maps have no hash; the rest of the row spreads it. Rows without a cell can match nothing and get one of
-        # many cells that no range has.
-        row_hash = F.xxhash64(F.lit(0), *[F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind and kind != "variant"])
-        keyed = keyed.withColumn("_cell", F.coalesce("_cell", -1 - F.pmod(row_hash, F.lit(1 << 30))))
-        keyed = keyed.withColumn("_salt", F.pmod(row_hash, F.lit(salts)).cast("int"))
-        cells = cells.withColumn(
-            "_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        hit = hit & (F.col("_salt") == F.col("_copy"))
+def _checked(ranges: DataFrame) -> DataFrame:
+    """``ranges``, failing as they are read unless 0 <= lo <= hi < 2^32."""
+    valid = F.coalesce((F.col("lo") >= 0) & (F.col("lo") <= F.col("hi")) & (F.col("hi") < 2 ** 32), F.lit(False))
+    message = F.lit("an IP range is not within 0 <= lo <= hi < 2^32")
+    return ranges.select(F.when(valid, F.col("lo")).otherwise(F.raise_error(message).cast("bigint")).alias("lo"), "hi", "region")
+
+
+def _free(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
 
+
+def with_region(df: DataFrame, ranges: DataFrame, ip: str = "ip", out: str = "region") -> DataFrame:
+    """Add the region of ``ip`` as ``out``; NULL for an unknown or malformed address.
+
+    One lazy plan, nothing runs while it is built; ranges that are invalid or overlap fail the query that reads them,
+    in the same pass that cuts them. The cell sizes of the blocks are broadcast: there are at most 65,536
+    blocks. The cells are joined by (block, cell) without a hint: Spark broadcasts them while their bytes are below its
+    threshold, as estimated or as AQE measures them, and otherwise joins by shuffle, where AQE splits a cell
+    with much of the traffic. Rows whose address has no cell spread by their hash.
+    """
+    names = {n: _free(df, n) for n in ("_ip", "_block", "_bits", "_cell", "_of", "_in_block", "_in_cell", "_lo", "_hi", "_region")}
+    at = {n: F.col(name) for n, name in names.items()}
+    parts = block_ranges(_checked(ranges))
+    reached = F.max("hi").over(Window.partitionBy("block").orderBy("lo", "hi").rowsBetween(Window.unboundedPreceding, -1))
+    blocks = parts.withColumn("region", F.when(F.col("lo") <= reached, F.raise_error(F.lit("the IP ranges overlap")).cast("string"))
+                               .otherwise(F.col("region")))
+    sizes = parts.groupBy(F.col("block").alias(names["_of"])).agg(F.first("bits").alias(names["_bits"]))
+    cells = range_cells(blocks).select(*[F.col(n).alias(names[to]) for n, to in (
+        ("block", "_in_block"), ("cell", "_in_cell"), ("lo", "_lo"), ("hi", "_hi"), ("region", "_region"))])
+
+    # Maps have no hash; the rest of the row spreads it. No range has a negative cell.
+    row_hash = F.xxhash64(F.lit(0), *[F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind and kind != "variant"])
+    keyed = (df.withColumn(names["_ip"], ipv4_to_long(ip))
+             .withColumn(names["_block"], F.coalesce(F.shiftright(at["_ip"], BLOCK_BITS), F.lit(-1)))
+             .join(F.broadcast(sizes), at["_block"] == at["_of"], "left")
+             .withColumn(names["_cell"], F.coalesce(_shift(at["_ip"], at["_bits"]), -1 - F.pmod(row_hash, F.lit(1 << 30)))))
+    hit = (at["_block"] == at["_in_block"]) & (at["_cell"] == at["_in_cell"]) & at["_ip"].between(at["_lo"], at["_hi"])
     kept = [F.col(f"`{c}`") for c in df.columns if c != out]
-    return keyed.join(cells, hit, "left").select(*kept, F.col("_region").alias(out))
+    return keyed.join(cells, hit, "left").select(*kept, at["_region"].alias(out))

@@ -16,7 +16,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from weblens import schemas
-from weblens.sources.commits import append_marker, delete_folders, read_or_empty, read_or_none
+from weblens.sources.commits import append_marker, delete_folders, folders, read_or_empty, read_or_none
 
 # The cell that holds a click counter.
 FAMILY = "info"
@@ -103,6 +103,8 @@ class CounterTable:
 
         Use a new ``stream_id`` with every new checkpoint, since batch numbers then start again.
         """
+        if self.commits:
+            raise ValueError("tables with common commits are incremented together")
         increment_together({self: deltas}, stream_id, batch_id)
 
     def _stage(self, deltas: DataFrame, stream_id: str, batch_id: int, attempt: int) -> None:
@@ -178,14 +180,13 @@ class CounterTable:
         log, base, _ = self._parts(None)
         here = ["stream_id", "batch_id", "attempt", "key_day"]
         last = self.markers.batches().select("stream_id", "batch_id", F.col("attempt").alias("_last"))
-        found = read_or_empty(self.spark, f"{self.path}/log", schemas.COUNTER_DELTA)
-        deltas = (found.select(*here, "_metadata.file_path").join(last, ["stream_id", "batch_id"])
-                  .filter("attempt <= _last").join(log.select(*here).distinct(), here, "left_anti"))
         place = ["generation", "key_day"]
-        bases = (read_or_empty(self.spark, f"{self.path}/base", schemas.COUNTER_BASE).select(*place, "_metadata.file_path")
-                 .join(base.select(*place).distinct(), place, "left_anti"))
-        folder = F.regexp_extract("file_path", "^(.*)/[^/]+$", 1)
-        old = [row[0] for row in deltas.select(folder).union(bases.select(folder)).distinct().collect()]
+        old: list[str] = []
+        if (found := read_or_none(self.spark, f"{self.path}/log", schemas.COUNTER_DELTA)) is not None:
+            old += folders(found.select(*here, "_metadata.file_path").join(last, ["stream_id", "batch_id"])
+                           .filter("attempt <= _last").join(log.select(*here).distinct(), here, "left_anti"))
+        if (found := read_or_none(self.spark, f"{self.path}/base", schemas.COUNTER_BASE)) is not None:
+            old += folders(found.select(*place, "_metadata.file_path").join(base.select(*place).distinct(), place, "left_anti"))
         return delete_folders(self.spark, old)
 
 

@@ -39,6 +39,23 @@ def pv_uv_joined(pv: DataFrame, uv: DataFrame) -> DataFrame:
             .select("date", F.coalesce("pv", zero).alias("pv"), F.coalesce("uv", zero).alias("uv")))
 
 
+def visits(views: DataFrame) -> DataFrame:
+    """Page views per date and visitor, of which PV and UV both add up; visitors without a page have 0."""
+    return views.groupBy("date", "guid").agg(F.count(F.when(F.col("url") != "", 1)).alias("pages"))
+
+
+def pv_uv_full_join(views: DataFrame) -> DataFrame:
+    """PV and UV as two tables, full joined, from one scan: both aggregate the same exchange by (date, guid).
+
+    Both read the same columns of it, or column pruning would tell the two exchanges apart.
+    """
+    seen = visits(views)
+    pv = seen.groupBy("date").agg(F.sum("pages").alias("pv")).filter("pv > 0")
+    visitor = (F.col("guid") != "") & (F.col("pages") >= 0)
+    uv = seen.groupBy("date").agg(F.count(F.when(visitor, 1)).alias("uv")).filter("uv > 0")
+    return pv_uv_joined(pv, uv)
+
+
 def stamped_pv_uv(pv_uv: DataFrame) -> DataFrame:
     """The RDBMS form of a PV/UV table: a zero ``id`` for the database to replace, and the load time."""
     return pv_uv.select(F.lit(0).cast("bigint").alias("id"), "date", "pv", "uv",
@@ -63,6 +80,14 @@ def unit_counts(access: DataFrame) -> DataFrame:
                          F.col("traffic").alias("traffics"))
 
 
+def access_counts_of_all_days(access: DataFrame, cms_type: str = "video") -> DataFrame:
+    """``access_counts`` of one content type (``counted``), and a row for every day with others, in one pass."""
+    mine = F.coalesce(F.col("cmsType") == cms_type, F.lit(False))
+    keys = ("city", "cmsId", "traffic")
+    return (access.select("day", mine.alias("counted"), *[F.when(mine, F.col(k)).alias(k) for k in keys])
+            .groupBy("day", "counted", "city", "cmsId").agg(F.count("cmsId").alias("times"), F.sum("traffic").alias("traffics")))
+
+
 def access_counts(access: DataFrame) -> DataFrame:
     """Accesses and traffic per (day, city, item): all three daily statistics add up from it."""
     return access.groupBy("day", "city", "cmsId").agg(

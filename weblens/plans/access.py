@@ -61,9 +61,13 @@ def store_daily_stats(access: DataFrame, target: str, day: str | None = None, n:
     The access rows are read and shuffled once, for the counts that all three tables share. A day that is
     asked for, or that has access rows, loses what a former run stored even if no row replaces it.
     """
-    days = [day] if day else [r[0] for r in access.select("day").distinct().collect()]
-    with persisted(stats.access_counts(stats.of_day_and_type(access, day))) as counts:
-        write_stats(daily_stats(counts, n), target, days)
+    spark = access.sparkSession
+    if day:
+        with persisted(stats.access_counts(stats.of_day_and_type(access, day))) as counts:
+            write_stats(daily_stats(counts, n), target, spark.range(1, numPartitions=1).select(F.lit(day).alias("day")))
+    else:
+        with persisted(stats.access_counts_of_all_days(access)) as counts:
+            write_stats(daily_stats(counts.filter("counted"), n), target, counts.select("day").distinct())
 
 
 def daily_stats_job(spark: SparkSession, source: str, target: str, day: str) -> None:

@@ -36,5 +36,8 @@ FOLDED = _struct(generation=_I, key_day=_S, stream_id=_S, batch_id=_L)
 CELL_VERSION = _struct(row_key=_S, segment=_S, value=_L, epoch=_L, stream_id=_S, version=_L, key_day=_S)
 CELL_STREAM = _struct(epoch=_L, stream_id=_S)
 
+# The tables of the daily statistics.
+STATS = {"video": DAY_VIDEO, "city": DAY_CITY_VIDEO, "traffic": DAY_TRAFFIC}
+
 # Which run of the daily statistics holds a day.
 STAT_RUN = _struct(day=_S, run=_L)

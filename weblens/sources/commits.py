@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 
@@ -34,6 +34,12 @@ def append_marker(rows: DataFrame, path: str) -> None:
     rows.coalesce(1).write.mode("append").parquet(path)
 
 
+def folders(files: DataFrame) -> list[str]:
+    """The folders of the rows' files (``file_path``, as ``_metadata`` has it)."""
+    folder = F.regexp_extract("file_path", "^(.*)/[^/]+$", 1)
+    return [row[0] for row in files.select(folder).distinct().collect()]
+
+
 def delete_folders(spark: SparkSession, locations: Iterable[str]) -> int:
     """Delete folders, given as URIs such as ``_metadata.file_path`` holds, and return how many were there.
 

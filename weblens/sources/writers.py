@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Iterable, Mapping
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
+
+from weblens import schemas
+from weblens.sources.commits import append_marker, delete_folders, folders, read_or_empty, read_or_none
 
 # The result tables of the daily statistics.
 STAT_TABLES = {
@@ -14,6 +18,9 @@ STAT_TABLES = {
     "traffic": "day_video_traffics_topn_stat",
 }
 
+# The markers: which run holds a day.
+STAT_RUNS = "stat_runs"
+
 
 def write_text(df: DataFrame, folder: str, separator: str = ",", stamp: int | None = None) -> str:
     """One text line per row, in a new sub-folder named by the current milliseconds."""
@@ -63,23 +70,47 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     placed.write.mode("overwrite").option("header", True).csv(path)
 
 
-def drop_days(spark: SparkSession, folder: str, days: Iterable[str]) -> None:
-    """Remove the partitions of ``days``; those that are not there are left alone."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for day in days:
-        path = jvm.org.apache.hadoop.fs.Path(f"{folder}/day={day}")
-        path.getFileSystem(conf).delete(path, True)
+def write_bucketed(df: DataFrame, table: str, column: str, buckets: int) -> None:
+    """A managed Parquet table in ``buckets`` hash buckets of ``column``, sorted by it, with table and column
+    statistics. A join or aggregate by ``column`` reads it without an exchange."""
+    (df.repartition(buckets, F.col(column)).write.format("parquet").mode("overwrite")
+     .bucketBy(buckets, column).sortBy(column).saveAsTable(table))
+    df.sparkSession.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
 
 
-def write_stats(stats: Mapping[str, DataFrame], folder: str, days: Iterable[str] = ()) -> None:
-    """Write the daily statistics, replacing the days they contain, and clearing those of ``days`` for which
+def write_stats(stats: Mapping[str, DataFrame], folder: str, days: DataFrame) -> None:
+    """Write the daily statistics of ``days`` (day), which replace what a former run stored for those days, also where
     there is no row any more.
 
-    ``stats`` has the keys of ``STAT_TABLES``.
+    ``stats`` has the keys of ``STAT_TABLES`` and rows of ``days`` only. Every run writes folders of its own; they
+    count from its marker on, which is written last, so all days of all tables change at once, and a failure on
+    the way changes nothing.
     """
+    spark = days.sparkSession
+    runs = read_or_none(spark, f"{folder}/{STAT_RUNS}", schemas.STAT_RUN)
+    run = 1 if runs is None else 1 + (runs.agg(F.max("run")).first()[0] or 0)
     for name, df in stats.items():
-        path = f"{folder}/{STAT_TABLES[name]}"
-        write_partitioned(df, path, "day", compression="snappy", only_given=True)
-        wanted = set(days)
-        if wanted:
-            drop_days(df.sparkSession, path, wanted - {r[0] for r in df.select("day").distinct().collect()})
+        write_partitioned(df, f"{folder}/{STAT_TABLES[name]}/run={run}", "day", compression="snappy")
+    append_marker(days.select("day", F.lit(run).cast("bigint").alias("run")).distinct(), f"{folder}/{STAT_RUNS}")
+
+
+def _valid_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return (read_or_empty(spark, f"{folder}/{STAT_RUNS}", schemas.STAT_RUN)
+            .groupBy("day").agg(F.max("run").alias("run")))
+
+
+def read_stats(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """One of the ``STAT_TABLES`` as its last runs left it; markers are listed before the folders they speak of."""
+    schema, valid = schemas.STATS[name], _valid_runs(spark, folder)
+    stored = read_or_empty(spark, f"{folder}/{STAT_TABLES[name]}", StructType([*schema.fields, schemas.STAT_RUN["run"]]))
+    return stored.join(valid, ["day", "run"], "left_semi").select(*schema.fieldNames())
+
+
+def sweep_stats(spark: SparkSession, folder: str) -> int:
+    """Delete the folders that later runs replaced; not while a reader of them may still run."""
+    valid, old = _valid_runs(spark, folder).withColumnRenamed("run", "_valid"), []
+    for name, table in STAT_TABLES.items():
+        stored = read_or_none(spark, f"{folder}/{table}", StructType([*schemas.STATS[name].fields, schemas.STAT_RUN["run"]]))
+        if stored is not None:
+            old += folders(stored.select("day", "run", "_metadata.file_path").join(valid, "day").filter("run < _valid"))
+    return delete_folders(spark, old)
