@@ -75,5 +75,7 @@ def observed(seen: Observation, recount: Callable[[], DataFrame]) -> dict[str, i
     could not give a row to the output, there is nothing to get, and ``recount`` (one row) counts instead."""
     try:
         return seen.get
-    except (AssertionError, Py4JJavaError):
+    except Py4JJavaError as error:  # what Spark says of an observation without a row; anything else is a failure
+        if error.java_exception.getClass().getName() != "java.lang.AssertionError":
+            raise
         return {k: v or 0 for k, v in recount().first().asDict().items()}
