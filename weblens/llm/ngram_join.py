@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from weblens.llm.common import bounded_batches, staged, with_ids
 from weblens.llm.components import components
-from weblens.llm.wordhash import mix, shingle_sets, text_slices
+from weblens.llm.wordhash import mix, set_digest, shingle_sets, text_slices
 
 GROUPS = 64
 FANOUT = 16
@@ -164,7 +164,7 @@ def shingled(docs: DataFrame, size: int, num: int, per: int) -> DataFrame:
             for first, data, offsets in text_slices(batch.column(1)):
                 sets = shingle_sets(data, offsets, size, lower=True)
                 n = [len(s) for s in sets]
-                digests = [np.array([mix(s).sum(dtype=_U), mix(s ^ _U(0x2545F4914F6CDD1D)).sum(dtype=_U)]).tobytes() for s in sets]
+                digests = [set_digest(s) for s in sets]
                 keys = [part_keys(s, schemes) if len(s) else s for s in sets]
                 ends = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(

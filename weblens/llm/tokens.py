@@ -2,7 +2,7 @@
 
 Texts are cut where neither of the supported pre-tokenizers (byte-level BPE, and BPE with word ends) joins the
 two sides, whatever stands around: before a space, newline or punctuation mark. Pieces are told apart by
-64-bit hashes, and each new one is encoded by the library once; a worker remembers a bounded number.
+128-bit hashes, and each new one is encoded by the library once; a worker remembers a bounded number.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from tokenizers import Tokenizer
 
-from weblens.llm.wordhash import byte_sums, mix, text_slices
+from weblens.llm.wordhash import mix, span_hashes, text_slices
 
 _ASCII = np.arange(256) < 128
 _WHITE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 28, 29, 30, 31, 32])
@@ -72,10 +72,11 @@ class Encoder:
     def _forget(self) -> None:
         self.known, self.recent = _Table(), _Table()
         self.starts, self.lengths = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32)
+        self.seconds = np.zeros(1 << 16, np.uint64)
         self.ids = np.zeros(1 << 18, np.uint32)
         self.pieces = self.used = 0
 
-    def _learn(self, hashes: np.ndarray, pieces: list[str]) -> np.ndarray:
+    def _learn(self, hashes: np.ndarray, seconds: np.ndarray, pieces: list[str]) -> np.ndarray:
         if self.pieces + len(pieces) > self.most:
             self._forget()
         lengths, flat = [], []
@@ -86,11 +87,12 @@ class Encoder:
                 flat += ids
         n, size = self.pieces + len(pieces), self.used + len(flat)
         while len(self.starts) < n:
-            self.starts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths))
+            self.starts, self.lengths, self.seconds = (
+                np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths, self.seconds))
         while len(self.ids) < size:
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         places = np.arange(self.pieces, n)
-        self.lengths[places] = lengths
+        self.lengths[places], self.seconds[places] = lengths, seconds
         self.starts[places] = self.used + np.cumsum(lengths) - lengths
         self.ids[self.used:size] = flat
         self.pieces, self.used = n, size
@@ -108,22 +110,26 @@ class Encoder:
     def _encode(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> Iterator[np.ndarray]:
         starts = piece_starts(data, offsets)
         ends = np.append(starts[1:], len(data))
-        sums, inverse = byte_sums(data)
-        hashes = mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
-        distinct, which = np.unique(hashes, return_inverse=True)
-        places = self.known.find(distinct)
-        missing = places < 0
-        if missing.any():
-            places[missing] = self.recent.find(distinct[missing])
-            missing = np.flatnonzero(places < 0)
+        hashes, seconds = span_hashes(data, starts, ends, two=True)
+        while True:
+            distinct, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+            places = self.known.find(distinct)
+            unknown = places < 0
+            places[unknown] = self.recent.find(distinct[unknown])
+            # Another piece with the same first hash, here or among those known, is told by the second one and goes on
+            # under another first hash.
+            other = seconds != seconds[first][which]
+            other |= ((places >= 0) & (self.seconds[places] != seconds[first]))[which]
+            if not other.any():
+                break
+            hashes[other] = mix(hashes[other] ^ seconds[other])
+        missing = np.flatnonzero(places < 0)
         if len(missing):
             if self.pieces + len(missing) > self.most:  # the pieces of this batch are learnt anew, too
                 self._forget()
                 missing = np.arange(len(distinct))
-            first = np.zeros(len(distinct), np.int64)
-            first[which[::-1]] = np.arange(len(which))[::-1]
             raw = data.tobytes()
-            places[missing] = self._learn(distinct[missing], [
+            places[missing] = self._learn(distinct[missing], seconds[first[missing]], [
                 raw[i:j].decode() for i, j in zip(starts[first[missing]].tolist(), ends[first[missing]].tolist())])
         at = places[which]
         lengths = self.lengths[at].astype(np.int64)

@@ -1,25 +1,26 @@
 """64-bit hashes of the words of a batch of texts, in NumPy passes over its bytes.
 
-Words are runs of bytes other than space and the controls 9 to 13. A word's hash is a polynomial over
-random 64-bit values of its bytes, taken from running sums, then mixed; no word becomes a Python object.
+Words are runs of bytes other than space and the controls 9 to 13. A word is mixed into its hash eight bytes at a
+time, all words at once; no word becomes a Python object.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-_RNG = np.random.Generator(np.random.PCG64(20240229))
-_BYTE = _RNG.integers(1, 2 ** 63, 256, dtype=np.uint64) * U64(2) + U64(1)
-_LOWER = _BYTE.copy()
-_LOWER[65:91] = _BYTE[97:123]
-_BASE = 0x9E3779B97F4A7C15 | 1
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LETTERS = np.zeros(256, dtype=bool)
 _LETTERS[65:91] = _LETTERS[97:123] = _LETTERS[128:] = True
-_powers = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
+_SEEDS = (U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F))
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)  # masks of the first k bytes
+LONG = 256  # longer spans are hashed one by one
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -29,24 +30,40 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U64(31))
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        size = 1 << (n - 1).bit_length()
-        for k, base in enumerate((_BASE, pow(_BASE, -1, 2 ** 64))):
-            table = np.full(size, base, dtype=np.uint64)
-            table[0] = 1
-            _powers[k] = np.multiply.accumulate(table)
-    return _powers[0], _powers[1]
-
-
-def byte_sums(data: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """Running sums of the weighted byte values, and the inverse weights: the hash of data[i:j] is
-    (sums[j] - sums[i]) * inverse[i]."""
+def _eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from every byte on as one value, zeros behind the end."""
     n = len(data)
-    power, inverse = _power_tables(n + 1)
-    sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum((_LOWER if lower else _BYTE)[data] * power[:n], out=sums[1:])
-    return sums, inverse
+    padded = np.zeros(n + 16, dtype=np.uint8)
+    padded[:n] = data
+    out = np.empty(n + 8, dtype=np.uint64)
+    for k in range(8):
+        out[k::8] = padded[k:k + (len(out[k::8]) * 8)].view("<u8")
+    return out[:n]
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, two: bool = False) -> list[np.ndarray]:
+    """64-bit hashes of data[start:end], and with ``two`` others of their own seed, so that both make 128 bits.
+
+    Every eight bytes are mixed into the state, one round for all spans that still have some; spans of more than
+    LONG bytes go through BLAKE2.
+    """
+    lengths = ends - starts
+    found = [mix(lengths.astype(np.uint64) * seed + seed) for seed in _SEEDS[:1 + two]]
+    eights = _eights(data)
+    active = np.flatnonzero((lengths > 0) & (lengths <= LONG))
+    done = 0
+    while len(active):
+        left = lengths[active] - done
+        block = eights[starts[active] + done] & _KEEP[np.minimum(left, 8)]
+        for h, seed in zip(found, _SEEDS):
+            h[active] = mix((h[active] ^ block) + seed)
+        done += 8
+        active = active[left > 8]
+    for k in np.flatnonzero(lengths > LONG).tolist():
+        whole = np.frombuffer(hashlib.blake2b(data[starts[k]:ends[k]].tobytes(), digest_size=16).digest(), dtype=np.uint64)
+        for h, value in zip(found, whole):
+            h[k] = value
+    return found
 
 
 def text_slices(column: pa.Array, most: int = 1 << 20):
@@ -84,11 +101,15 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = False,
     lasts = offsets[1:][offsets[1:] > 0] - 1
     end[lasts] = inside[lasts]
     starts, ends = np.flatnonzero(start), np.flatnonzero(end) + 1
-    sums, inverse = byte_sums(data, lower)
-    hashes = mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    hashes, = span_hashes(_LOWER[data] if lower else data, starts, ends)
     return hashes, np.searchsorted(starts, offsets)
 
 
+def set_digest(hashes: np.ndarray) -> bytes:
+    """A 128-bit digest of a sorted set of hashes."""
+    return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
+
+
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int, lower: bool = False) -> list[np.ndarray]:
     """For each text its distinct ``size``-word shingles as sorted hashes; a text with fewer words has one
     shingle of all of them, a text without words none."""
