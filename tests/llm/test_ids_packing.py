@@ -5,10 +5,11 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm.conftest import SF_DIR
-from weblens.llm import queries
+from weblens.llm import packing, queries
 from weblens.llm.packing import pack_documents, pack_sequences, patterns, price, relaxed
 from weblens.llm.simple8b import binary_output, pack, read_segment, segment, unpack
 from weblens.llm.tokens import Encoder
@@ -103,6 +104,29 @@ def test_sequences(spark, make_docs, odd_rows, source):
         assert sum(held.values()) >= 0.96 * 2048 * len(held)
 
 
+@pytest.mark.parametrize("text", ["one two three", None, "w " * 70])
+def test_short_texts_leave_little_padding(spark, text):
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit(text).cast("string").alias("text"))
+    out = pack_documents(docs, PATHS[1])
+    held = {r[0]: r[1] for r in out.groupBy("sequence_id").agg(F.sum("length")).collect()}
+    assert sum(held.values()) >= 0.97 * 2048 * (len(held) - 1) and out.count() == 4000
+
+
+def test_ranks_by_shuffle_are_the_same(spark, make_docs, odd_rows, monkeypatch):
+    docs = make_docs(odd_rows).coalesce(1)
+    want = sorted(map(str, pack_documents(docs, PATHS[1]).collect()))
+    monkeypatch.setattr(packing, "BROADCAST_COUNTS", 0)
+    assert sorted(map(str, pack_documents(docs, PATHS[1]).collect())) == want
+
+
+def test_texts_that_polynomial_hashes_confuse(spark, make_docs):
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    rows = [(1, one), (2, one.translate(str.maketrans("ab", "ba")))]
+    docs = make_docs(rows).coalesce(1)
+    for path, out, end in ((PATHS[0], binary_output(docs, PATHS[0]), 0), (PATHS[1], pack_documents(docs, PATHS[1]), 1)):
+        assert sorted((r["doc_id"], r["ids_crc32"]) for r in out.collect()) == [(d, crc(x)) for d, x in expected_ids(path, rows, end)]
+
+
 def test_sequences_hold_the_ids(make_docs, odd_rows):
     held = {}
     for r in pack_sequences(make_docs(odd_rows), PATHS[1]).collect():
