@@ -1,14 +1,16 @@
 import random
+import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import SF_DIR
 from tests.oracle import compare, connect
-from weblens.llm import oracles, queries
+from weblens.llm import ngram_join, oracles, queries
 from weblens.llm.hamming import MultiIndex, nearest_codes, sign_codes
 from weblens.llm.neardup import near_duplicates
-from weblens.llm.ngram_join import CountTree, Schemes, jaccard_components, one_of_each
+from weblens.llm.ngram_join import CountTree, Schemes, groups_of, jaccard_components, one_of_each, point_table, points
 
 
 @pytest.mark.parametrize("name", oracles.ORACLES)
@@ -92,14 +94,105 @@ def test_tree_bound_loses_nothing():
     rng = np.random.default_rng(2)
     counts = rng.poisson(3, (300, 64)).astype(np.int32)
     counts[150:] = np.maximum(0, counts[:150] + rng.integers(-1, 2, (150, 64)) * (rng.random((150, 64)) < 0.2))
-    tree = CountTree(counts, 85, 100)
     total = counts.sum(1)
+    tree = CountTree(counts, total, 85, 100)
     for i in range(0, 300, 7):
         bound = np.minimum(counts, counts[i]).sum(1)
         need = (185 * bound >= 85 * (total + total[i])) & (100 * np.minimum(total, total[i]) >= 85 * np.maximum(total, total[i]))
         assert set(np.flatnonzero(need)) <= set(tree.search(i)[0].tolist())
 
 
+@pytest.mark.parametrize("repeat", [1, 700])
+def test_points_bound_the_overlap(repeat):
+    """Of sets in different numbers of groups, and where a byte does not hold a count."""
+    rng = np.random.default_rng(repeat)
+    pool = rng.integers(0, 2 ** 63, 3000, dtype=np.int64).astype(np.uint64)
+    if repeat > 1:  # nearly all shingles in one group
+        pool = unmixed(np.arange(3000, dtype=np.uint64))
+    sets = [np.unique(rng.choice(pool, n, replace=False)) for n in (1, 5, 130, 300, 700, 2500, 2900)]
+    counts, totals = point_table([points(x) for x in sets])
+    assert totals.tolist() == [len(x) for x in sets] and counts.shape[1] == min(groups_of(len(x)) for x in sets)
+    spare = totals - counts.sum(axis=1)
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets):
+            assert len(np.intersect1d(x, y)) <= np.minimum(counts[i], counts[j]).sum() + min(spare[i], spare[j])
+
+
+def unmixed(values):
+    """Numbers that ``mix`` brings to ``values``."""
+    def unshift(h, by):
+        out = h
+        for _ in range(64 // by + 1):
+            out = h ^ (out >> np.uint64(by))
+        return out
+    h = unshift(values, 31) * np.uint64(pow(0x94D049BB133111EB, -1, 2 ** 64))
+    h = unshift(h, 27) * np.uint64(pow(0xBF58476D1CE4E5B9, -1, 2 ** 64))
+    return unshift(h, 30)
+
+
+def test_texts_that_polynomial_hashes_confuse_are_not_linked(make_docs):
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    docs = make_docs([(1, one), (2, one.translate(str.maketrans("ab", "ba"))), (3, one)])
+    assert {r["doc_id"]: r["component_id"] for r in jaccard_components(docs).collect()} == {1: 1, 2: 2, 3: 1}
+
+
+def test_short_texts_need_no_blocks(spark):
+    """Sets that link with equal ones alone never meet others: 20,000 texts of up to eight words."""
+    rows = spark.range(20_000).select("id", F.concat_ws(" ", *[F.when(F.col("id") % 8 >= k, F.concat(F.lit("w"), F.col("id") + k)) for k in range(8)]).alias("text"))
+    docs = rows.select(F.col("id").alias("doc_id"), "text").union(rows.filter("id % 5 = 0").select(F.col("id") + 100_000, "text"))
+    start = time.time()
+    got = jaccard_components(docs)
+    assert got.filter("component_id <> doc_id % 100000").count() == 0 and got.count() == 24_000
+    assert time.time() - start < 60
+
+
+def test_candidates_of_one_group_grow_in_proportion(spark, words, monkeypatch):
+    """A group of near copies that all link: rows sent to pieces, and pairs, per member."""
+    text, _ = words
+    seen = []
+    search = ngram_join._candidates
+
+    def counted(blocks, num, per, best):
+        pairs = search(blocks, num, per, best)
+        seen.append(pairs.count())
+        return pairs
+    monkeypatch.setattr(ngram_join, "_candidates", counted)
+    monkeypatch.setattr(ngram_join, "TILE", 32)
+    base, rng = text(400).split(), random.Random(4)
+
+    def changed():
+        copy = list(base)
+        for at in rng.sample(range(400), 2):
+            copy[at] = "changed"
+        return " ".join(copy)
+    for n in (150, 600):
+        docs = spark.createDataFrame([(i, changed()) for i in range(n)], "doc_id BIGINT, text STRING")
+        assert {r["component_id"] for r in jaccard_components(docs).collect()} == {0}
+        assert seen[-2] <= n and seen[-1] <= n
+
+
+@pytest.mark.parametrize("tile", [8, 512])
+def test_jaccard_in_small_tiles(spark, words, monkeypatch, tile):
+    """Families whose members partly link, cut into tiles in both rounds."""
+    monkeypatch.setattr(ngram_join, "TILE", tile)
+    text, edited = words
+    rng = np.random.default_rng(tile)
+    rows = []
+    for family in range(6):
+        base = text(60 + 40 * family)
+        rows += [(len(rows) + i, edited(base, share)) for i, share in enumerate(rng.choice([0.0, 0.01, 0.02, 0.03, 0.05], 25))]
+    sets = [brute_set(t) for _, t in rows]
+    links = [(i, j) for i in range(len(rows)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])]
+    label = closed(range(len(rows)), links)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_components(spark.createDataFrame(rows, "doc_id BIGINT, text STRING")).collect()}
+    assert got == {i: label[i] for i in range(len(rows))}
+
+
+def brute_set(text):
+    w = text.lower().split()
+    return {tuple(w[i:i + 4]) for i in range(len(w) - 3)} or {tuple(w)}
+
+
 def test_jaccard_odd(make_docs, odd_rows):
     out = jaccard_components(make_docs(odd_rows)).collect()
     assert len(out) == len(odd_rows)

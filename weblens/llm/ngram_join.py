@@ -1,7 +1,7 @@
 """Jaccard join of word n-gram sets with a count-vector R-tree.
 
-Shingles are hashed into 64 groups; how many fall into each is a point, and the overlap of two sets is at most
-the sum of the smaller coordinates. R-trees over such points give, for a document, the partners whose bound
+Shingles are hashed into groups, about one for every two shingles; how many fall into each is a point, and the overlap
+of two sets is at most the sum of the smaller coordinates. R-trees over such points give, for a document, the partners whose bound
 reaches what the threshold asks for; survivors are verified on the sets themselves.
 
 One tree over a corpus fits no task, so trees are built over blocks that lose no pair. A scheme for a range of
@@ -9,25 +9,26 @@ sizes cuts the hash space into m parts, m greater than the most shingles in whic
 can differ; then they agree in the whole content of a part, and documents with equal content of a part form a
 block. A shared passage does not bring documents together, only a shared part does.
 
-First every document is paired with the partner of the highest bound in its blocks' trees; only blocks in which these pairs, once verified, leave more than one component are searched for all
-pairs between components.
+First every document is paired with the partner of the highest bound in the trees of its tiles, which are linear in
+the size of a block. Only blocks in which these pairs, once verified, leave more than one component are searched for
+all pairs between components: the rest of the block against its largest component, and the rest against itself.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from weblens.llm.common import bounded_batches, staged, with_ids
 from weblens.llm.components import components
 from weblens.llm.wordhash import mix, set_digest, shingle_sets, text_slices
 
-GROUPS = 64
+GROUPS = (64, 4096)  # the fewest and the most groups, powers of two
 FANOUT = 16
 TILE = 512
 RANGE = 1.35  # sizes of one scheme: from low to below low * RANGE
@@ -50,6 +51,10 @@ class Schemes:
         shared = -(-self.num * (smaller + larger) // (self.num + self.per))
         return max(0, smaller + larger - 2 * shared, 2 * smaller - 2 * -(-self.num * 2 * smaller // (self.num + self.per)))
 
+    def only_equal(self, n: int) -> bool:
+        """Whether a set of ``n`` links with equal sets alone."""
+        return not any(self.differing(k) for k in range(-(-n * self.num // self.per), n + 1))
+
     def of(self, n: int) -> list[tuple[int, int, int]]:
         """(scheme, parts, most differing) of the schemes in which a set of ``n`` can meet a linked one: those
         whose range holds a size between its smallest partner's and its own."""
@@ -67,6 +72,8 @@ class Schemes:
         """Enough parts that the smallest set of the range surely has more than ``most`` that are not empty: their
         expected number less three deviations. Sets of a few shingles may still have too few of them."""
         n, parts = self.lows[scheme], most + 2
+        if n <= 32:  # so many that hardly any two shingles share one
+            return 8 * n + 8
         while parts < 2 * most + 8:
             empty = parts * math.exp(-n / parts)
             if parts - empty - 3 * math.sqrt(empty) > most:
@@ -78,10 +85,13 @@ class Schemes:
 def part_keys(hashes: np.ndarray, schemes: Schemes) -> np.ndarray:
     """A key for the content of every part of a set, in every scheme of its size.
 
-    Empty parts are left out unless the set has too few others for one of them to be surely unchanged.
+    Empty parts are left out unless the set has too few others for one of them to be surely unchanged. Sets that
+    link with equal ones alone have no keys: their digest settles it.
     """
     keys = []
     n = len(hashes)
+    if n < 64 and schemes.only_equal(n):
+        return np.zeros(0, _U)
     spread = mix(hashes ^ _U(0xA24BAED4963EE407))
     for scheme, parts, most in schemes.of(n):
         part = (spread >> _U(32)) * _U(parts) >> _U(32)
@@ -94,51 +104,68 @@ def part_keys(hashes: np.ndarray, schemes: Schemes) -> np.ndarray:
     return np.concatenate(keys) if keys else np.zeros(0, _U)
 
 
-def points(hashes: np.ndarray) -> np.ndarray:
-    return np.bincount((mix(hashes) >> _U(58)).astype(np.int64), minlength=GROUPS).astype(np.int32)
+def groups_of(n: int) -> int:
+    """How many groups a set of ``n`` has; more than half as many as its shingles, within GROUPS."""
+    return min(GROUPS[1], max(GROUPS[0], 1 << max(0, n // 2 - 1).bit_length()))
+
+
+def points(hashes: np.ndarray) -> bytes:
+    """The size of a set (8 bytes), and its counts, of one byte each; what is above 255 shows as size beyond their sum."""
+    groups = groups_of(len(hashes))
+    counts = np.bincount((mix(hashes) >> _U(65 - groups.bit_length())).astype(np.int64), minlength=groups)
+    return np.int64(len(hashes)).tobytes() + np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def point_table(encoded: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(counts in as many groups as the set with the fewest has, sizes). Groups of half as many are sums of two."""
+    groups = min(len(e) for e in encoded) - 8
+    counts = np.zeros((len(encoded), groups), dtype=np.int32)
+    for row, e in enumerate(encoded):
+        counts[row] = np.frombuffer(e, np.uint8, offset=8).reshape(groups, -1).sum(axis=1)
+    return counts, np.array([np.frombuffer(e, np.int64, 1)[0] for e in encoded])
 
 
 class CountTree:
     """An R-tree over count vectors, bulk loaded by size and then by the widest coordinates."""
 
-    def __init__(self, counts: np.ndarray, num: int, per: int):
-        self.counts, self.num, self.per = counts, num, per
-        self.totals = counts.sum(axis=1, dtype=np.int64)
+    def __init__(self, counts: np.ndarray, totals: np.ndarray, num: int, per: int):
+        self.counts, self.totals, self.num, self.per = counts, totals, num, per
+        self.spare = totals - counts.sum(axis=1, dtype=np.int64)  # what the bytes of the counts could not hold
         wide = np.argsort(-counts.var(axis=0), kind="stable")[:2]
         order = np.lexsort((counts[:, wide[1]], counts[:, wide[0]], (self.totals / max(1, FANOUT)).astype(np.int64)))
-        self.levels = [(order, counts[order], self.totals[order], self.totals[order])]
+        self.levels = [(order, counts[order], self.totals[order], self.totals[order], self.spare[order])]
         while len(self.levels[-1][0]) > FANOUT:
-            _, high, least, most = self.levels[-1]
+            _, high, least, most, spare = self.levels[-1]
             cuts = np.arange(0, len(high), FANOUT)
             self.levels.append((cuts, np.maximum.reduceat(high, cuts), np.minimum.reduceat(least, cuts),
-                                np.maximum.reduceat(most, cuts)))
+                                np.maximum.reduceat(most, cuts), np.maximum.reduceat(spare, cuts)))
 
-    def _may(self, counts: np.ndarray, total: int, high: np.ndarray, least: np.ndarray, most: np.ndarray) -> np.ndarray:
-        """Which boxes may hold a linked set: the size fits, and the summed minima reach the overlap needed."""
-        bound = np.minimum(high, counts).sum(axis=1)
-        size_fits = (least * self.num <= total * self.per) & (most * self.per >= total * self.num)
-        return size_fits & ((self.num + self.per) * bound >= self.num * (total + least))
+    def _bound(self, row: int, high: np.ndarray, spare: np.ndarray) -> np.ndarray:
+        """The most shingles that ``row`` shares with what is in the boxes."""
+        return np.minimum(high, self.counts[row]).sum(axis=1, dtype=np.int64) + np.minimum(spare, self.spare[row])
 
     def search(self, row: int) -> tuple[np.ndarray, np.ndarray]:
         """Rows whose bound allows a link with ``row``, and the largest similarity the bound allows."""
-        counts, total = self.counts[row], int(self.totals[row])
+        total = int(self.totals[row])
         at = np.arange(len(self.levels[-1][0]))
         for depth in range(len(self.levels) - 1, -1, -1):
-            _, high, least, most = self.levels[depth]
-            at = at[self._may(counts, total, high[at], least[at], most[at])]
+            _, high, least, most, spare = self.levels[depth]
+            at = at[(least[at] * self.num <= total * self.per) & (most[at] * self.per >= total * self.num)]
+            bound = self._bound(row, high[at], spare[at])
+            may = (self.num + self.per) * bound >= self.num * (total + least[at])
+            at, bound = at[may], bound[may]
             if depth:
                 at = (at[:, None] * FANOUT + np.arange(FANOUT)).reshape(-1)
                 at = at[at < len(self.levels[depth - 1][0])]
-        rows, high, totals, _ = self.levels[0]
-        bound = np.minimum(high[at], counts).sum(axis=1)
-        return rows[at], bound / (total + totals[at] - bound)
+        totals = self.levels[0][2][at]
+        return self.levels[0][0][at], bound / np.maximum(1, total + totals - bound)
 
 
-def block_pairs(ids: np.ndarray, sides: np.ndarray, counts: np.ndarray, num: int, per: int, best: bool) -> list[tuple[int, int, float]]:
+def block_pairs(ids: np.ndarray, sides: np.ndarray, encoded: list[bytes], num: int, per: int, best: bool) -> list[tuple[int, int, float]]:
     """(row id, partner id, bound on the similarity) of pairs from different ``sides`` of a block, from its
     R-tree. ``best``: for each row the partner with the highest bound, the smallest of equals. Otherwise all
     partners with a smaller id."""
-    tree = CountTree(counts, num, per)
+    tree = CountTree(*point_table(encoded), num, per)
     out: list[tuple[int, int, float]] = []
     for row in range(len(ids)):
         found, bound = tree.search(row)
@@ -170,7 +197,7 @@ def shingled(docs: DataFrame, size: int, num: int, per: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, len(sets)).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(digests, pa.binary()),
                      pa.ListArray.from_arrays(ends, pa.array(np.concatenate(keys).view(np.int64))),
-                     pa.array([points(s).tobytes() for s in sets], pa.binary())],
+                     pa.array([points(s) for s in sets], pa.binary())],
                     names=["doc_id", "n_shingles", "digest", "keys", "counts"])
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(describe, schema)
@@ -197,14 +224,32 @@ def _candidates(blocks: DataFrame, num: int, per: int, best: bool) -> DataFrame:
     """Distinct pairs (a < b) from the R-trees of ``blocks`` (block, id, side, counts, members), each with one
     ``piece`` of a block, the largest that offers it; ``best``: for each id its best partner only.
 
-    A block of more than TILE members is cut into tiles by hash, and every two of its tiles are a piece.
+    For best partners a block of more than TILE members is cut into tiles by hash, and every tile and its next one are
+    a piece. For all pairs its largest component (``top``, with ``inside`` members) and the rest are cut; every tile of
+    the rest meets every tile of both.
     """
-    tiles = F.ceil(F.col("members") / TILE).cast("int")
-    mine = F.pmod(F.xxhash64("id"), F.col("_tiles")).cast("int")
-    pieces = (blocks.withColumn("_tiles", tiles).withColumn("_mine", mine)
-              .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_tiles") - 1)))
-              .select(F.xxhash64("block", F.least("_mine", "_other"), F.greatest("_mine", "_other")).alias("piece"),
-                      "id", "side", "counts"))
+    def tiles(rows: Column) -> Column:
+        return F.greatest(F.lit(1), F.ceil(rows / TILE)).cast("int")
+
+    def each(count: Column, met: Callable[[Column], Column]) -> Column:
+        return F.transform(F.sequence(F.lit(0), count - 1), met)
+
+    def met(kind: int, one: Column, other: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), one.alias("one"), other.alias("other"))
+
+    mine, spread = F.col("_mine"), F.xxhash64("id")
+    if best:
+        cut = (blocks.withColumn("_tiles", tiles(F.col("members"))).withColumn("_mine", F.pmod(spread, F.col("_tiles")).cast("int"))
+               .withColumn("_met", F.explode(F.array_distinct(F.array(mine, F.pmod(mine - 1, F.col("_tiles"))))))
+               .withColumn("piece", F.xxhash64("block", "_met")))
+    else:
+        inner, top, rest = F.col("side") == F.col("top"), tiles(F.col("inside")), tiles(F.col("members") - F.col("inside"))
+        # Kind 0: a tile of the rest and one of the largest component; kind 1: two of the rest.
+        pieces_of_rest = F.concat(each(top, lambda k: met(0, mine, k)), each(rest, lambda k: met(1, F.least(mine, k), F.greatest(mine, k))))
+        cut = (blocks.withColumn("_mine", F.pmod(spread, F.when(inner, top).otherwise(rest)).cast("int"))
+               .withColumn("_met", F.explode(F.when(inner, each(rest, lambda k: met(0, k, mine))).otherwise(pieces_of_rest)))
+               .withColumn("piece", F.xxhash64("block", "_met.kind", "_met.one", "_met.other")))
+    pieces = cut.select("piece", "id", "side", "counts")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
@@ -220,9 +265,11 @@ def _candidates(blocks: DataFrame, num: int, per: int, best: bool) -> DataFrame:
             if sum(r.num_rows for r in run) < 2:
                 continue
             ids, sides = (np.concatenate([np.asarray(r.column(k)) for r in run]) for k in (1, 2))
-            counts = np.frombuffer(b"".join(x for r in run for x in r.column(3).to_pylist()), dtype=np.int32).reshape(-1, GROUPS)
+            if (sides == sides[0]).all():
+                continue
+            encoded = [x for r in run for x in r.column(3).to_pylist()]
             piece = run[0].column(0)[0].as_py()
-            rows += [(*pair, len(ids), piece) for pair in block_pairs(ids, sides, counts, num, per, best)]
+            rows += [(*pair, len(ids), piece) for pair in block_pairs(ids, sides, encoded, num, per, best)]
             if len(rows) > 20_000:
                 yield flush()
         yield flush()
@@ -316,24 +363,17 @@ def jaccard_components(docs: DataFrame, size: int = 4, num: int = 85, per: int =
 
     # A verified pair per document first, with its best partner, so that a dense group costs about one comparison
     # a member; then all pairs between what is still apart.
-    tried = links = joined = None
-    for best in (True, False):
-        sided = members.withColumn("side", F.col("id"))
-        if joined is not None:
-            sided = (members.join(joined, F.col("id") == F.col("node"), "left")
-                     .withColumn("side", F.coalesce("component", "id"))
-                     .withColumn("_low", F.min("side").over(own)).withColumn("_high", F.max("side").over(own))
-                     .filter("_low < _high").select("block", "id", "members", "counts", "side"))
-        pairs = _candidates(sided, num, per, best)
-        if tried is not None:
-            pairs = pairs.join(tried.select(F.col("a").alias("_a"), F.col("b").alias("_b")),
-                               (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left_anti")
-        pairs = staged(pairs.select("a", "b", "piece"), "pairs")
-        found = staged(_verified(pairs, docs, size, num, per), "links")
-        tried = pairs if tried is None else tried.union(pairs)
-        links = found if links is None else links.union(found)
-        if best:
-            joined = components(links)
+    first = staged(_candidates(members.withColumn("side", F.col("id")), num, per, True), "pairs")
+    links = staged(_verified(first, docs, size, num, per), "links")
+    joined = components(links)
+    sided = staged(members.join(joined, F.col("id") == F.col("node"), "left")
+                   .select("block", "id", "members", "counts", F.coalesce("component", "id").alias("side")), "sides")
+    tops = (sided.groupBy("block", "side").agg(F.count(F.lit(1)).alias("_n"))
+            .groupBy("block").agg(F.max(F.struct("_n", "side")).alias("_top"), F.count(F.lit(1)).alias("_sides")).filter("_sides > 1")
+            .select(F.col("block").alias("_block"), F.col("_top.side").alias("top"), F.col("_top._n").alias("inside")))
+    apart = sided.join(tops, F.col("block") == F.col("_block")).drop("_block")
+    second = staged(_candidates(apart, num, per, False), "pairs")
+    links = links.union(staged(_verified(second, docs, size, num, per), "links"))
     # Copies of a set, and sets of one doc_id, are linked as well.
     same = (known.select("doc_id", "digest").join(classes.filter("copies > 1").select(F.col("digest").alias("_d"), "rep"),
                                                   F.col("digest") == F.col("_d"))
