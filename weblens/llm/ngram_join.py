@@ -10,8 +10,9 @@ can differ; then they agree in the whole content of a part, and documents with e
 block. A shared passage does not bring documents together, only a shared part does.
 
 First every document is paired with the partner of the highest bound in the trees of its tiles, which are linear in
-the size of a block. Only blocks in which these pairs, once verified, leave more than one component are searched for
-all pairs between components: the rest of the block against its largest component, and the rest against itself.
+the size of a block. In blocks in which these pairs, once verified, leave more than one component, the rest meets the
+largest component and itself: first for a forest of pairs that would join them all, then, where that failed, for all
+pairs.
 """
 
 from __future__ import annotations
@@ -161,23 +162,43 @@ class CountTree:
         return self.levels[0][0][at], bound / np.maximum(1, total + totals - bound)
 
 
-def block_pairs(ids: np.ndarray, sides: np.ndarray, encoded: list[bytes], num: int, per: int, best: bool) -> list[tuple[int, int, float]]:
-    """(row id, partner id, bound on the similarity) of pairs from different ``sides`` of a block, from its
-    R-tree. ``best``: for each row the partner with the highest bound, the smallest of equals. Otherwise all
-    partners with a smaller id."""
+BEST, FOREST, ALL = "best", "forest", "all"
+
+
+def block_pairs(ids: np.ndarray, sides: np.ndarray, encoded: list[bytes], num: int, per: int, which: str) -> list[tuple[int, int, float]]:
+    """(row id, partner id, bound on the similarity) of pairs from different ``sides`` of a block, from its R-tree.
+
+    BEST: for each row the partner with the highest bound, the smallest of equals. FOREST: the pairs of highest bounds
+    that join the sides, none that closes a circle. ALL: all partners with a smaller id."""
     tree = CountTree(*point_table(encoded), num, per)
     out: list[tuple[int, int, float]] = []
     for row in range(len(ids)):
         found, bound = tree.search(row)
         other = (sides[found] != sides[row]) & (ids[found] != ids[row])
-        if best:
+        if which == BEST:
             if other.any():
                 k = np.lexsort((ids[found[other]], -bound[other]))[0]
                 out.append((int(ids[row]), int(ids[found[other][k]]), float(bound[other][k])))
         else:
             other &= ids[found] < ids[row]
             out += [(int(ids[row]), int(i), float(x)) for i, x in zip(ids[found[other]], bound[other])]
-    return out
+    if which != FOREST:
+        return out
+    side = dict(zip(ids.tolist(), sides.tolist()))
+    root = {s: s for s in side.values()}
+
+    def find(s: int) -> int:
+        while root[s] != s:
+            root[s] = s = root[root[s]]
+        return s
+
+    forest = []
+    for a, b, bound in sorted(out, key=lambda pair: (-pair[2], pair[0], pair[1])):
+        x, y = find(side[a]), find(side[b])
+        if x != y:
+            root[x] = y
+            forest.append((a, b, bound))
+    return forest
 
 
 def shingled(docs: DataFrame, size: int, num: int, per: int) -> DataFrame:
@@ -220,12 +241,12 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
         yield held
 
 
-def _candidates(blocks: DataFrame, num: int, per: int, best: bool) -> DataFrame:
+def _candidates(blocks: DataFrame, num: int, per: int, which: str) -> DataFrame:
     """Distinct pairs (a < b) from the R-trees of ``blocks`` (block, id, side, counts, members), each with one
-    ``piece`` of a block, the largest that offers it; ``best``: for each id its best partner only.
+    ``piece`` of a block, the largest that offers it; which pairs, as for ``block_pairs``, BEST over all blocks.
 
     For best partners a block of more than TILE members is cut into tiles by hash, and every tile and its next one are
-    a piece. For all pairs its largest component (``top``, with ``inside`` members) and the rest are cut; every tile of
+    a piece. Otherwise its largest component (``top``, with ``inside`` members) and the rest are cut; every tile of
     the rest meets every tile of both.
     """
     def tiles(rows: Column) -> Column:
@@ -238,7 +259,7 @@ def _candidates(blocks: DataFrame, num: int, per: int, best: bool) -> DataFrame:
         return F.struct(F.lit(kind).alias("kind"), one.alias("one"), other.alias("other"))
 
     mine, spread = F.col("_mine"), F.xxhash64("id")
-    if best:
+    if which == BEST:
         cut = (blocks.withColumn("_tiles", tiles(F.col("members"))).withColumn("_mine", F.pmod(spread, F.col("_tiles")).cast("int"))
                .withColumn("_met", F.explode(F.array_distinct(F.array(mine, F.pmod(mine - 1, F.col("_tiles"))))))
                .withColumn("piece", F.xxhash64("block", "_met")))
@@ -269,14 +290,14 @@ def _candidates(blocks: DataFrame, num: int, per: int, best: bool) -> DataFrame:
                 continue
             encoded = [x for r in run for x in r.column(3).to_pylist()]
             piece = run[0].column(0)[0].as_py()
-            rows += [(*pair, len(ids), piece) for pair in block_pairs(ids, sides, encoded, num, per, best)]
+            rows += [(*pair, len(ids), piece) for pair in block_pairs(ids, sides, encoded, num, per, which)]
             if len(rows) > 20_000:
                 yield flush()
         yield flush()
 
     pairs = (pieces.repartition("piece").sortWithinPartitions("piece")
              .mapInArrow(search, "id BIGINT, partner BIGINT, bound DOUBLE, members BIGINT, piece BIGINT"))
-    if best:
+    if which == BEST:
         pairs = (pairs.groupBy("id").agg(F.max(F.struct("bound", -F.col("partner"), "members", "piece")).alias("m"))
                  .select("id", (-F.col("m.col2")).alias("partner"), "m.members", "m.piece"))
     return (pairs.groupBy(F.least("id", "partner").alias("a"), F.greatest("id", "partner").alias("b"))
@@ -361,19 +382,21 @@ def jaccard_components(docs: DataFrame, size: int = 4, num: int = 85, per: int =
                      .join(counts, F.col("id") == F.col("_of"))
                      .select("block", "id", "members", "counts").distinct(), "members")
 
-    # A verified pair per document first, with its best partner, so that a dense group costs about one comparison
-    # a member; then all pairs between what is still apart.
-    first = staged(_candidates(members.withColumn("side", F.col("id")), num, per, True), "pairs")
-    links = staged(_verified(first, docs, size, num, per), "links")
-    joined = components(links)
-    sided = staged(members.join(joined, F.col("id") == F.col("node"), "left")
-                   .select("block", "id", "members", "counts", F.coalesce("component", "id").alias("side")), "sides")
-    tops = (sided.groupBy("block", "side").agg(F.count(F.lit(1)).alias("_n"))
-            .groupBy("block").agg(F.max(F.struct("_n", "side")).alias("_top"), F.count(F.lit(1)).alias("_sides")).filter("_sides > 1")
-            .select(F.col("block").alias("_block"), F.col("_top.side").alias("top"), F.col("_top._n").alias("inside")))
-    apart = sided.join(tops, F.col("block") == F.col("_block")).drop("_block")
-    second = staged(_candidates(apart, num, per, False), "pairs")
-    links = links.union(staged(_verified(second, docs, size, num, per), "links"))
+    # A verified pair per document first, with its best partner; then pairs that would join what is still apart in a
+    # piece; at last all pairs between what even those have left apart. So a dense group costs a few comparisons
+    # a member.
+    found = staged(_candidates(members.withColumn("side", F.col("id")), num, per, BEST), "pairs")
+    links = staged(_verified(found, docs, size, num, per), "links")
+    for which in (FOREST, ALL):
+        joined = components(links)
+        sided = staged(members.join(joined, F.col("id") == F.col("node"), "left")
+                       .select("block", "id", "members", "counts", F.coalesce("component", "id").alias("side")), "sides")
+        tops = (sided.groupBy("block", "side").agg(F.count(F.lit(1)).alias("_n"))
+                .groupBy("block").agg(F.max(F.struct("_n", "side")).alias("_top"), F.count(F.lit(1)).alias("_sides")).filter("_sides > 1")
+                .select(F.col("block").alias("_block"), F.col("_top.side").alias("top"), F.col("_top._n").alias("inside")))
+        apart = sided.join(tops, F.col("block") == F.col("_block")).drop("_block")
+        found = staged(_candidates(apart, num, per, which), "pairs")
+        links = links.union(staged(_verified(found, docs, size, num, per), "links"))
     # Copies of a set, and sets of one doc_id, are linked as well.
     same = (known.select("doc_id", "digest").join(classes.filter("copies > 1").select(F.col("digest").alias("_d"), "rep"),
                                                   F.col("digest") == F.col("_d"))
