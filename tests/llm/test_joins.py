@@ -168,7 +168,7 @@ def test_candidates_of_one_group_grow_in_proportion(spark, words, monkeypatch):
     for n in (150, 600):
         docs = spark.createDataFrame([(i, changed()) for i in range(n)], "doc_id BIGINT, text STRING")
         assert {r["component_id"] for r in jaccard_components(docs).collect()} == {0}
-        assert seen[-3] <= n and seen[-2] <= n and seen[-1] == 0
+        assert seen[-3] <= n and seen[-2] <= 10 * n and seen[-1] <= n
 
 
 @pytest.mark.parametrize("tile", [8, 512])

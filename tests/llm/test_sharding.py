@@ -1,11 +1,13 @@
+import random
 import zlib
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import SF_DIR
 from weblens.llm import queries
-from weblens.llm.sharding import place_documents, shard_documents
+from weblens.llm.sharding import accepted_cells, place_documents, shard_documents, write_shards
 
 
 def checked(rows, texts, shards=16):
@@ -55,11 +57,41 @@ def test_odd(make_docs, odd_rows):
     assert shard_documents(make_docs([])).count() == 0
 
 
-def test_shards_hold_the_documents(spark, make_docs, odd_rows):
+def test_shards_hold_the_documents(spark, make_docs, odd_rows, tmp_path):
     docs = make_docs(odd_rows).withColumn("slot", F.lit("old"))
     out = place_documents(docs, 4)
     assert sorted(out.columns) == sorted([*docs.columns, "shard"])
     held = [c for c in docs.columns if c != "slot"]
     assert sorted(map(str, out.select(*held).collect())) == sorted(map(str, docs.select(*held).collect()))
-    names = {f.rsplit("/shard=", 1)[1].split("/")[0] for f in out.inputFiles()}
-    assert names == {str(r[0]) for r in out.select("shard").distinct().collect()}
+    path = str(tmp_path / "shards")
+    write_shards(docs, path, 4)
+    stored = spark.read.schema(out.schema).parquet(path)
+    assert sorted(map(str, stored.select(*out.columns).collect())) == sorted(map(str, out.collect()))
+    for folder in tmp_path.glob("shards/shard=*"):
+        slots = [spark.read.parquet(str(f)).toPandas()["slot"].tolist() for f in sorted(folder.glob("*.parquet"))]
+        assert [x for part in slots for x in part] == list(range(sum(map(len, slots))))
+
+
+@pytest.mark.parametrize("share, each", [(0.5, 2), (0.9, 2), (0.99, 2), (1.0, 2), (0.9, 10), (0.99, 10), (1.0, 10)])
+def test_linked_documents_stay_together_in_even_shards(make_docs, share, each):
+    rng = random.Random(each)
+    rows = [(i, f"alone {i} " + "x" * rng.randrange(200)) for i in range(int(1600 * each * (1 - share)))]
+    for group in range(int(1600 * share)):
+        text = f"group {group} " + "y" * rng.randrange(200)
+        rows += [(10_000 + group * each + k, text) for k in range(each)]
+    out = shard_documents(make_docs(rows)).collect()
+    sizes = checked(out, rows)
+    assert max(sizes) <= 1.05 * min(sizes)
+    text, groups = dict(rows), defaultdict(set)
+    for r in out:
+        groups[text[r["doc_id"]]].add(r["shard"])
+    several = [len(s) for t, s in groups.items() if t.startswith("group")]
+    assert sum(n == 1 for n in several) >= 0.95 * len(several)
+
+
+def test_accepted_cells_credit_what_leaves():
+    loads = {0: 100, 1: 100, 2: 100}
+    assert accepted_cells([(0, 1, 3, 50), (1, 0, 4, 50)], loads, 100) == {0: 3, 1: 4}  # an exchange of full shards
+    assert accepted_cells([(0, 1, 3, 50), (0, 1, 5, 10), (1, 0, 4, 50)], loads, 100) == {0: 3, 1: 4}
+    assert accepted_cells([(0, 1, 3, 50)], loads, 100) == {0: -1}
+    assert accepted_cells([(0, 1, 3, 50), (1, 2, 1, 50), (2, 0, 1, 40)], loads, 100) in ({0: -1, 1: -1, 2: -1}, {0: -1, 1: -1, 2: 1})

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from weblens.session import scratch_dir
+from weblens.sources.commits import delete_folders
 
 # Rows of one BIGINT column that may be broadcast: about 50 MB as a hashed relation.
 BROADCAST_IDS = 1_000_000
@@ -27,7 +28,16 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     executor costs nothing that was finished."""
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.staged_at = path
+    return table
+
+
+def released(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more: what was made of them is staged itself."""
+    for table in tables:
+        if path := getattr(table, "staged_at", None):
+            delete_folders(table.sparkSession, [path])
 
 
 def partitions(spark: SparkSession) -> int:
