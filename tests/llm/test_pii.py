@@ -59,3 +59,37 @@ def test_whole_corpus(make_docs, odd_rows, most):
         assert by[500 + i].split(" met ")[1].rstrip(".") == by[501 + i].split(" met ")[0]
     assert not {v[1] for v in map(tuple, entities(out).collect())} & {v[1] for v in map(tuple, entities(docs).collect())}
     assert surrogate_pii(make_docs([])).count() == 0
+
+
+@pytest.mark.parametrize("text, kinds", [
+    ("4111111111111111 123", ["card"]), ("4111111111111111 12/27", ["card"]), ("5 4111111111111111", ["card"]),
+    ("IBAN ES91 2100 0418 4502 0005 1332 2024", ["iban"]), ("ES9121000418450200051332 PAID", ["iban"]),
+    ("Dr. Jane Roe", ["name"]), ("host 2001:db8::1 up", ["ip"]), ("version 1.2.3.4", []), ("at 12:30:45 or 1:2", []), ("a::b", [])])
+def test_values_next_to_others(text, kinds):
+    assert [k for _, _, k, _, _ in detect(text)] == kinds
+    new = replace(text, {}, KEY).text
+    assert (new != text) == bool(kinds) and [k for _, _, k, _, _ in detect(new)] == kinds
+    if kinds == ["card"]:
+        assert "4111111111111111" not in new
+    if kinds == ["iban"]:
+        assert "2100 0418" not in new and "21000418" not in new and new.split()[-1] in (text.split()[-1], new.split()[-1])
+
+
+def test_country_codes_stay():
+    assert replace("+1 2024 2025", {}, KEY).text.startswith("+1 ")
+
+
+def test_one_person_through_a_text():
+    new = replace("Mr. Ivan Petrov met Petrov Ltd. Ivan Petrov said: Mr Petrov left.", {}, KEY).text
+    given, family = new.split()[1:3]
+    assert new == f"Mr. {given} {family} met {family} Ltd. {given} {family} said: Mr {family} left." and family != "Petrov" and given != "Ivan"
+    other = replace("Mrs. Anna Petrov", {}, KEY).text
+    assert other.split()[2] == family
+
+
+def test_dense_formats_settle(spark):
+    values = [("ip", f"{a}.{b}.{c}.{d}") for a in range(1, 10) for b in range(1, 10) for c in range(1, 10) for d in range(1, 10)][:6000]
+    values += [("email", f"{chr(97 + i)}@corp.com") for i in range(26)]
+    out = settled(spark.createDataFrame(values, "kind STRING, value STRING"), KEY).collect()
+    assert len(out) == len({(r["kind"], r["surrogate"]) for r in out}) == len(values)
+    assert not {r["surrogate"] for r in out} & {v for _, v in values}

@@ -3,13 +3,18 @@
 A surrogate is drawn from a keyed hash of the entity's type and canonical value: the same entity gets the same
 one in every document, whoever computes it, and without the key nothing leads back. All distinct entities of
 the corpus are then checked: where two would share a surrogate, or one would get another's real value, all but the
-first try again with a higher attempt. Only entities that had to try again are needed when texts are rewritten.
+first try again with a higher attempt, from the fifth on in wider formats where the narrow one may be used up. Only
+entities that had to try again are needed when texts are rewritten.
+
+A person is found after a title. Given and family names have surrogates of their own, so that the full name and the
+family name by itself, with or without a title, stay one person through the document and through the corpus.
 """
 
 from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -18,11 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from weblens.llm.common import bounded_batches, fresh, staged
+from weblens.llm.common import bounded_batches, fresh, released, staged
 
 KEY = b"weblens"
 MOST_BROADCAST = 100_000
-ROUNDS = 40
+WIDE = 5  # attempts from which formats widen
 
 # Names to draw from, by gender and script: fixed values of this library.
 GIVEN = {
@@ -47,21 +52,35 @@ TITLES = {
     "f": "Mrs Ms Miss Frau Mme Madame Sra Señora Κυρία Госпожа".split(),
     "m": "Mr Mister Herr Monsieur Sr Señor Κύριος Господин".split(),
 }
+NEUTRAL = "Dr Prof Professor Δρ Доктор".split()
+# Characters of an IBAN by country: fixed values.
+IBAN_LENGTHS = dict(AD=24, AE=23, AL=28, AT=20, BA=20, BE=16, BG=22, CH=21, CY=28, CZ=24, DE=22, DK=18, EE=20, ES=24, FI=18, FR=27,
+                    GB=22, GE=22, GI=23, GR=27, HR=21, HU=28, IE=22, IL=23, IS=26, IT=27, KW=30, LI=21, LT=20, LU=20, LV=21, MC=27, MD=24,
+                    ME=22, MK=19, MT=31, NL=18, NO=15, PL=28, PT=25, RO=24, RS=22, SA=24, SE=24, SI=19, SK=24, SM=27, TN=24, TR=26, UA=29)
 _GENDER = {t: g for g, titles in TITLES.items() for t in titles}
 _NAME = r"[^\W\d_a-z][^\W\d_]+"
 
+_TITLE = "|".join(sorted((t for ts in (*TITLES.values(), NEUTRAL) for t in ts), key=len, reverse=True))
+
+# (kind, texts of which one has to be there in lower case, pattern). A look behind comes after the first character it goes
+# with, so that the search skips to that character.
 PATTERNS = [
-    ("email", re.compile(r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}")),
-    ("secret", re.compile(r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])")),
-    ("secret", re.compile(r"""(?i:\b(?:password|passwd|pwd|token|secret|api_key|apikey)\s*[=:]\s*["']?)([^\s"',;]{8,})""")),
-    ("iban", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")),
-    ("card", re.compile(r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])")),
-    ("ssn", re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")),
-    ("phone", re.compile(r"(?<![\w.])(?:\+\d{1,3}[ .-]?)(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?![\w-])"
-                         r"|(?<![\w.])(?:\(\d{3}\) ?|\d{3}[-.])\d{3}[-.]\d{4}(?![\w-])")),
-    ("ip", re.compile(r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)")),
-    ("name", re.compile(rf"\b(?:{'|'.join(t for ts in TITLES.values() for t in ts)})\b\.? ({_NAME}(?:[ -]{_NAME})*)")),
+    ("email", ("@",), re.compile(r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}")),
+    ("secret", ("akia", "asia"), re.compile(r"A(?<![A-Za-z0-9]A)(?:KIA|SIA)[A-Z0-9]{16}(?![A-Za-z0-9])")),
+    ("secret", ("passw", "pwd", "token", "secret", "api"),
+     re.compile(r"""(?i:\b(?:password|passwd|pwd|token|secret|api_key|apikey)\s*[=:]\s*["']?)([^\s"',;]{8,})""")),
+    ("iban", (), re.compile(r"[A-Z](?<![A-Za-z0-9][A-Z])[A-Z]\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")),
+    ("card", (), re.compile(r"\d(?<![\w.-]\d)(?:[ -]?\d){12,18}(?![\w-])")),
+    ("ssn", (), re.compile(r"\d(?<![\w-]\d)\d{2}-\d{2}-\d{4}(?![\w-])")),
+    ("phone", (), re.compile(r"\+(?<![\w.]\+)\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?![\w-])")),
+    ("phone", (), re.compile(r"[\d(](?<![\w.][\d(])(?:(?<=\()\d{3}\) ?|(?<=\d)\d{2}[-.])\d{3}[-.]\d{4}(?![\w-])")),
+    ("ip", (), re.compile(r"\d(?<![\w.]\d)\d{0,2}(?:\.\d{1,3}){3}(?![\w]|\.\d)")),
+    ("ip", ("::", ":"), re.compile(r"[0-9a-fA-F](?<![\w:.][0-9a-fA-F])[0-9a-fA-F]{0,3}(?::[0-9a-fA-F]{0,4}){2,7}(?![\w:])")),
+    ("name", tuple(t.lower() for t in _TITLE.split("|")), re.compile(rf"\b(?:{_TITLE})\b\.? ({_NAME}(?:[ -]{_NAME})*)")),
 ]
+_NUMBERED = {"iban", "card", "ssn", "phone", "ip"}
+_DIGIT = re.compile("[0-9]")
+_VERSION = re.compile(r"(?i:\b(?:version|ver\.?|v\.?|release|section|chapter)\s?)$")
 
 
 def luhn(digits: str) -> bool:
@@ -76,10 +95,10 @@ def iban_remainder(value: str) -> int:
 def canonical(kind: str, value: str) -> str:
     """What is the same for two ways of writing an entity."""
     if kind in ("card", "phone", "ssn"):
-        return re.sub(r"\D", "", value)
+        return value[:1].replace("(", "").strip("0123456789") + re.sub(r"\D", "", value)
     if kind == "iban":
         return value.replace(" ", "")
-    if kind == "email":
+    if kind == "email" or kind == "ip":
         return value.lower()
     return value
 
@@ -87,33 +106,94 @@ def canonical(kind: str, value: str) -> str:
 def _valid(kind: str, value: str) -> bool:
     if kind == "card":
         return luhn(re.sub(r"\D", "", value))
+    if kind == "ip" and ":" in value:
+        try:
+            return bool(ipaddress.IPv6Address(value)) and len(value) > 6
+        except ValueError:
+            return False
     if kind == "ip":
         return all(int(x) < 256 and (x == "0" or x[0] != "0") for x in value.split("."))
     if kind == "iban":
         return 15 <= len(canonical(kind, value)) <= 34 and iban_remainder(canonical(kind, value)) == 1
     if kind == "phone":
-        return 7 <= len(canonical(kind, value)) <= 15
+        return 7 <= len(canonical(kind, value).lstrip("+")) <= 15
     return True
 
 
+def _shorter(kind: str, text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
+    """Spans inside a match that failed its check: for a card runs of its groups, for an IBAN its country's length."""
+    if kind == "card":
+        groups = [(start + m.start(), start + m.end()) for m in re.finditer(r"\d+", text[start:end])]
+        for i in range(len(groups)):
+            for j in range(len(groups), i, -1):
+                if (i, j) != (0, len(groups)) and 13 <= sum(b - a for a, b in groups[i:j]) <= 19:
+                    yield groups[i][0], groups[j - 1][1]
+    elif kind == "iban":
+        left = IBAN_LENGTHS.get(text[start:start + 2], 0)
+        for at in range(start, end):
+            left -= text[at] != " "
+            if left == 0:
+                if not text[at + 1:at + 2].isalnum():
+                    yield start, at + 1
+                return
+
+
+def _mentions(text: str, taken: list[tuple[int, int]], named: list[tuple[str, str]]) -> Iterator[tuple[int, int, str, str]]:
+    """(start, end, gender, name): further mentions of the named persons, of the full name or the family name alone."""
+    known: dict[str, str] = {}
+    for gender, name in named:
+        known.setdefault(name, gender)
+        family = family_of(name)
+        if len(family) > 2:
+            known.setdefault(family, gender)
+    if known:
+        pattern = re.compile(rf"(?<!\w)(?:{'|'.join(map(re.escape, sorted(known, key=len, reverse=True)))})(?!\w)")
+        for m in pattern.finditer(text):
+            if not any(s < m.end() and m.start() < e for s, e in taken):
+                yield m.start(), m.end(), known[m[0]], m[0]
+
+
+def family_of(name: str) -> str:
+    return name.rpartition(" ")[2]
+
+
 def detect(text: str | None) -> list[tuple[int, int, str, str, str]]:
     """(start, end, kind, canonical value, gender) in order, without overlaps: the earlier pattern wins."""
     if not text:
         return []
-    found, taken = [], []
-    for kind, pattern in PATTERNS:
-        if kind == "email" and "@" not in text:
+    found, taken, named = [], [], []
+    lowered, digits = text.lower(), bool(_DIGIT.search(text))
+    for kind, needed, pattern in PATTERNS:
+        if needed and not any(word in lowered for word in needed) or kind in _NUMBERED and not digits:
             continue
         for match in pattern.finditer(text):
             start, end = match.span(match.lastindex or 0)
-            value = text[start:end]
-            if _valid(kind, value) and not any(s < end and start < e for s, e in taken):
+            spans = [(start, end)] if _valid(kind, text[start:end]) else _shorter(kind, text, start, end)
+            for start, end in spans:
+                value = text[start:end]
+                if not _valid(kind, value) or any(s < end and start < e for s, e in taken):
+                    continue
+                if kind == "ip" and _VERSION.search(text[max(0, start - 10):start]):
+                    continue
                 gender = _GENDER.get(match.group().split(" ")[0].rstrip("."), "") if kind == "name" else ""
+                if kind == "name":
+                    named.append((gender, value))
                 taken.append((start, end))
                 found.append((start, end, kind, (gender + ":" if gender else "") + canonical(kind, value), gender))
+    for start, end, gender, value in _mentions(text, taken, named):
+        found.append((start, end, "name", (gender + ":" if gender else "") + value, gender))
     return sorted(found)
 
 
+def parts_of(kind: str, value: str) -> list[tuple[str, str]]:
+    """The entities with surrogates of their own in a detected one: given names and family name of a person."""
+    if kind != "name":
+        return [(kind, value)]
+    gender, _, name = value.rpartition(":")
+    given, _, family = name.rpartition(" ")
+    return [("given", f"{gender}:{given}")] * bool(given) + [("family", family)]
+
+
 class Draw:
     """An endless stream of numbers from a keyed hash."""
 
@@ -129,6 +209,10 @@ class Draw:
         self.left //= n
         return out
 
+    def like_hex(self, text: str) -> str:
+        """Hexadecimal digits for all of ``text``, none of them a leading zero."""
+        return "".join("123456789abcdef"[self.below(15)] if k == 0 else "0123456789abcdef"[self.below(16)] for k in range(len(text)))
+
     def like(self, text: str) -> str:
         """Letters for letters and digits for digits, in the same case; hex stays hex."""
         hexadecimal = re.fullmatch(r"[0-9a-f]+", text) and re.search("[a-f]", text) and re.search("[0-9]", text)
@@ -159,7 +243,12 @@ def surrogate(kind: str, value: str, attempt: int, key: bytes = KEY) -> str:
         local, domain = value.split("@")
         host, _, top = domain.rpartition(".")
         # One domain stays one domain: it does not depend on the rest of the address, nor on the attempt.
-        return f"{draw.like(local)}@{Draw(key, 'domain', domain).like(host)}.{top}"
+        wide = draw.like("0" * (attempt - WIDE + 2)) if attempt >= WIDE else ""
+        return f"{draw.like(local)}{wide}@{Draw(key, 'domain', domain).like(host)}.{top}"
+    if kind == "ip" and ":" in value:
+        return ":".join(draw.like_hex(group) for group in value.split(":"))
+    if kind == "ip" and attempt >= WIDE:
+        return ".".join(map(str, [1 + draw.below(223), draw.below(256), draw.below(256), 1 + draw.below(254)]))
     if kind == "ip":
         return ".".join(str((1 + draw.below(9), 10 + draw.below(90), 100 + draw.below(155))[len(x) - 1]) for x in value.split("."))
     if kind == "card":
@@ -168,7 +257,8 @@ def surrogate(kind: str, value: str, attempt: int, key: bytes = KEY) -> str:
     if kind == "ssn":
         return f"{100 + draw.below(800):03d}{1 + draw.below(99):02d}{1 + draw.below(9999):04d}"
     if kind == "phone":
-        keep = max(0, len(value) - 10)  # what goes before ten digits is a country's code
+        plus = value.startswith("+")
+        keep = max(2 * plus, len(value) - 10)  # what goes before ten digits is a country's code
         return value[:keep] + str(2 + draw.below(8)) + "".join(str(draw.below(10)) for _ in value[keep + 1:])
     if kind == "iban":
         body = "".join(str(draw.below(10)) if c.isdigit() else draw.like(c) for c in value[4:])
@@ -177,27 +267,37 @@ def surrogate(kind: str, value: str, attempt: int, key: bytes = KEY) -> str:
         head = value[:4] if value[:4] in ("AKIA", "ASIA") else ""
         body = value[len(head):]
         return head + "".join("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"[draw.below(32)] for _ in body) if head else draw.like(body)
+    if kind == "family":
+        return _name(draw, [value], FAMILY[script_of(value)], attempt)
     gender, _, name = value.rpartition(":")
-    script = script_of(name)
-    parts = re.split(r"([ -])", name)
+    if kind == "given":
+        gender = gender or "fm"[Draw(key, "gender", name).below(2)]
+        return _name(draw, re.split(r"([ -])", name), GIVEN[gender, script_of(name)], attempt)
+    # A whole person as one entity.
+    given, _, family = name.rpartition(" ")
+    new = _name(draw, [family], FAMILY[script_of(family)], attempt)
+    if given:
+        new = f"{_name(draw, re.split(r'([ -])', given), GIVEN[gender or 'm', script_of(given)], 0)} {new}"
+    return (gender + ":" if gender else "") + new
+
+
+def _name(draw: Draw, parts: list[str], pool: list[str], attempt: int) -> str:
+    """Names of the pool for the parts (every second one is what stands between); the last one grows by a syllable an
+    attempt, as there are more names than the lists hold."""
     out = []
     for i, part in enumerate(parts):
-        if i % 2:
-            out.append(part)
-            continue
-        last = i == len(parts) - 1
-        pool = FAMILY[script] if last else GIVEN[gender or "m", script]
-        new = pool[draw.below(len(pool))]
-        if last:  # more names than the lists hold: longer family names
-            new += "".join(SYLLABLES[script][draw.below(len(SYLLABLES[script]))] for _ in range(attempt))
-        out.append(new.upper() if part.isupper() and len(part) > 1 else new)
-    return (gender + ":" if gender else "") + "".join(out)
+        new = part if i % 2 else pool[draw.below(len(pool))]
+        if i == len(parts) - 1:
+            syllables = SYLLABLES[script_of(part)]
+            new += "".join(syllables[draw.below(len(syllables))] for _ in range(attempt))
+        out.append(new.upper() if not i % 2 and part.isupper() and len(part) > 1 else new)
+    return "".join(out)
 
 
 def written(kind: str, original: str, value: str) -> str:
     """The surrogate in the format of the text it replaces."""
     if kind in ("card", "phone", "ssn", "iban"):
-        rest = iter(value)
+        rest = iter(value.lstrip("+"))
         return "".join(next(rest) if c.isalnum() else c for c in original)
     if kind == "email":
         if original.isupper():
@@ -219,17 +319,17 @@ def replace(text: str | None, attempts: dict[tuple[str, str], int], key: bytes)
         return Replaced(text, [], [])
     out, at = [], 0
     for start, end, kind, value, _ in found:
-        new = surrogate(kind, value, attempts.get((kind, value), 0), key)
-        out += [text[at:start], written(kind, text[start:end], new)]
+        new = " ".join(written(k, text[start:end], surrogate(k, v, attempts.get((k, v), 0), key)) for k, v in parts_of(kind, value))
+        out += [text[at:start], new]
         at = end
     return Replaced("".join(out) + text[at:], [f[2] for f in found], [x for f in found for x in f[:2]])
 
 
-def settled(entities: DataFrame, key: bytes, rounds: int = ROUNDS) -> DataFrame:
+def settled(entities: DataFrame, key: bytes) -> DataFrame:
     """``entities`` (kind, value: distinct) with attempt and surrogate; no surrogate twice, none a real value.
 
-    Of entities with one surrogate the first by (attempt, value) keeps it, the others try again. Where the
-    format leaves no free surrogate within ``rounds`` the job fails rather than mix up two entities.
+    Of entities with one surrogate the first by (attempt, value) keeps it, the others try again, as long as there are
+    any: later attempts draw from wider formats and longer names, of which there always are more than entities.
     """
     @F.pandas_udf("string")
     def draw(kind, value, attempt):
@@ -239,7 +339,7 @@ def settled(entities: DataFrame, key: bytes, rounds: int = ROUNDS) -> DataFrame:
     real = entities.select(F.col("kind").alias("_kind"), F.col("value").alias("_real"))
     now = staged(entities.withColumn("attempt", F.lit(0)).withColumn("surrogate", draw("kind", "value", F.lit(0))), "surrogates")
     rival = Window.partitionBy("kind", "surrogate").orderBy("attempt", "value")
-    for _ in range(rounds):
+    while True:
         checked = (now.withColumn("_place", F.row_number().over(rival))
                    .join(real, (F.col("kind") == F.col("_kind")) & (F.col("surrogate") == F.col("_real")), "left")
                    .withColumn("_again", (F.col("_place") > 1) | F.col("_real").isNotNull())
@@ -249,15 +349,15 @@ def settled(entities: DataFrame, key: bytes, rounds: int = ROUNDS) -> DataFrame:
             return now
         tried = (checked.filter("_again").withColumn("attempt", F.col("attempt") + 1)
                  .withColumn("surrogate", draw("kind", "value", "attempt")))
-        now = staged(checked.filter("NOT _again").unionByName(tried).drop("_again"), "surrogates")
-    raise RuntimeError("entities are left without surrogates of their own")
+        before, now = now, staged(checked.filter("NOT _again").unionByName(tried).drop("_again"), "surrogates")
+        released(before, checked)
 
 
 def entities(docs: DataFrame) -> DataFrame:
     """The distinct (kind, value) in all whole texts."""
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen = {(kind, value) for text in batch.column(0).to_pylist() for _, _, kind, value, _ in detect(text)}
+            seen = {part for text in batch.column(0).to_pylist() for _, _, kind, value, _ in detect(text) for part in parts_of(kind, value)}
             yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in seen], pa.string()), pa.array([v for _, v in seen], pa.string())],
                                              names=["kind", "value"])
 
@@ -302,8 +402,8 @@ def surrogate_pii(docs: DataFrame, key: bytes = KEY, most_broadcast: int = MOST_
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen = sorted({(row, kind, value) for row, text in zip(*(c.to_pylist() for c in batch.columns))
-                           for _, _, kind, value, _ in detect(text)})
+            seen = sorted({(row, *part) for row, text in zip(*(c.to_pylist() for c in batch.columns))
+                           for _, _, kind, value, _ in detect(text) for part in parts_of(kind, value)})
             yield pa.RecordBatch.from_arrays([pa.array([s[0] for s in seen], pa.int64()), pa.array([s[1] for s in seen], pa.string()),
                                               pa.array([s[2] for s in seen], pa.string())], names=["_of", "_kind", "_value"])
 
