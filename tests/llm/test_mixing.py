@@ -2,8 +2,10 @@ import math
 from collections import defaultdict
 from fractions import Fraction
 
+import pytest
 from pyspark.sql import functions as F
 
+from tests.llm.conftest import SF_DIR
 from weblens.llm.mixing import mix, repeated
 
 
@@ -60,3 +62,30 @@ def test_all_capped(spark, make_docs):
     out = mix(make_docs([(1, "a b"), (2, "c")]), weights=(1,), budget=(2, 1)).collect()
     assert {(r["_target"], r["_repeats"]) for r in out} == {(6.0, 2)}
     assert F.col is not None
+
+
+@pytest.mark.parametrize("long_id", range(12))
+def test_one_document_outweighs_what_is_wanted(spark, long_id):
+    """Wherever its bucket lies, it stops none of the others."""
+    rows = [(long_id, "w " * 10_000, "a")] + [(1000 + i, "w " * 100, "a") for i in range(99)] + [(5000 + i, "w " * 100, "b") for i in range(40)]
+    out = mix(spark.createDataFrame(rows, "doc_id BIGINT, text STRING, source STRING"), (5, 1), (5, 4), 2).collect()
+    for source in "ab":
+        mine = [r for r in out if r["source"] == source]
+        taken = sum(r["_size"] * r["_repeats"] for r in mine)
+        assert abs(taken - mine[0]["_target"]) <= max(50, 0.01 * mine[0]["_target"]), (source, taken, mine[0]["_target"])
+
+
+def test_pipeline_stages_take_odd_rows(spark, make_docs, odd_rows):
+    """Every stage of the pipeline on NULLs, empty, long and repeated rows, and on no rows."""
+    import corpus_pipeline
+    for rows in (odd_rows, []):
+        for name, stage in corpus_pipeline.STAGES:
+            docs = make_docs(rows, clash=False)
+            out = stage(spark, docs, SF_DIR)
+            found = out.collect()
+            assert name == "packing" or out.columns == docs.columns
+            assert {r["doc_id"] for r in found} <= {r[0] for r in rows}
+            if name == "personal_data":
+                assert len(found) == len(rows)
+            if name == "near_copies" and rows:
+                assert {1, 2, 3, 4} <= {r["doc_id"] for r in found}

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from weblens.llm.common import fresh, running, staged
 
@@ -63,10 +63,11 @@ def water_fill(sources: DataFrame, budget: tuple[int, int], cap: int) -> DataFra
 
 def mix_plan(sizes: DataFrame, weights: Sequence[int], budget: tuple[int, int], cap: int) -> DataFrame:
     """One row per source: source_size, target, and what to take: ``whole`` repetitions of every document,
-    and one more of the documents in a bucket below ``below`` or equal to ``extra``.
+    and one more of the documents whose bucket is marked in ``more``.
 
-    ``sizes`` is staged: source, size, bucket. Buckets are taken in order while they fit into what is
-    wanted; the one bucket that then comes nearest to the rest is added, if that is nearer than nothing.
+    ``sizes`` is staged: source, size, bucket. Buckets are taken in order, each if it fits into what is still wanted,
+    so that one that is too large stops none behind it; the one that is left and comes nearest to the rest is added, if
+    that is nearer than nothing.
     """
     totals = staged(sizes.groupBy("source").agg(F.sum("size").alias("source_size")), "sources")
     ranked = running(totals, [], [F.asc_nulls_last("source")], "place", label="ranked-sources")
@@ -79,23 +80,29 @@ def mix_plan(sizes: DataFrame, weights: Sequence[int], budget: tuple[int, int],
              .withColumn("want", F.col("target") - F.col("whole") * F.col("source_size")))
     goals = staged(goals, "goals")
 
+    # At most BUCKETS cells a source, whatever its rows.
     cells = (sizes.filter("size > 0").groupBy("source", "bucket").agg(F.sum("size").alias("amount"))
-             .join(goals.select(F.col("source").alias("_source"), "want"),
-                   F.col("source").eqNullSafe(F.col("_source"))))
-    own = Window.partitionBy("source")
-    cells = (cells.withColumn("reached", F.sum("amount").over(own.orderBy("bucket")))
-             .withColumn("fits", F.col("reached") <= F.col("want"))
-             .withColumn("rest", F.col("want") - F.coalesce(
-                 F.max(F.when(F.col("fits"), F.col("reached"))).over(own), F.lit(0)))
-             .withColumn("off", F.abs(F.col("amount") - F.col("rest"))))
-    cuts = (cells.groupBy("source").agg(
-        F.min(F.when(~F.col("fits"), F.col("bucket"))).alias("below"),
-        F.min(F.when(~F.col("fits") & (F.col("off") < F.col("rest")), F.struct("off", "bucket"))).alias("best"))
-        .select(F.col("source").alias("_source"), F.coalesce("below", F.lit(BUCKETS)).alias("below"),
-                F.coalesce("best.bucket", F.lit(-1)).alias("extra")))
-    return (goals.join(cuts, F.col("source").eqNullSafe(F.col("_source")), "left")
-            .select("source", "source_size", "target", "whole", F.coalesce("below", F.lit(0)).alias("below"),
-                    F.coalesce("extra", F.lit(-1)).alias("extra")))
+             .groupBy("source").agg(F.array_sort(F.collect_list(F.struct("bucket", "amount"))).alias("cells"))
+             .select(F.col("source").alias("_source"), "cells"))
+    none = F.array().cast("array<int>")
+    first = F.struct(F.col("want").alias("rest"), none.alias("taken"))
+
+    def take(done: Column, cell: Column) -> Column:
+        fits = cell["amount"] <= done["rest"]
+        return F.struct(F.when(fits, done["rest"] - cell["amount"]).otherwise(done["rest"]).alias("rest"),
+                        F.when(fits, F.array_append(done["taken"], cell["bucket"])).otherwise(done["taken"]).alias("taken"))
+
+    cuts = (goals.join(cells, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
+            .withColumn("_done", F.aggregate(F.coalesce("cells", F.array().cast("array<struct<bucket:int,amount:bigint>>")), first, take)))
+    # Staged, or the steps below would compute it anew for every cell.
+    cuts = staged(cuts, "fitted-buckets")
+    off = F.transform(F.filter("cells", lambda c: ~F.array_contains("_done.taken", c["bucket"])),
+                      lambda c: F.struct(F.abs(c["amount"] - F.col("_done.rest")).alias("off"), c["bucket"].alias("bucket")))
+    near = F.array_min(F.filter(off, lambda c: c["off"] < F.col("_done.rest")))
+    taken = F.when(near.isNotNull(), F.array_append("_done.taken", near["bucket"])).otherwise(F.col("_done.taken"))
+    marks = F.transform(F.sequence(F.lit(0), F.lit(BUCKETS - 1)), lambda k: F.array_contains("taken", k))
+    cuts = staged(cuts.withColumn("taken", taken), "taken-buckets")
+    return staged(cuts.select("source", "source_size", "target", "whole", marks.alias("more")), "mix-plan")
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), budget: tuple[int, int] = (3, 2), cap: int = 2,
@@ -111,11 +118,10 @@ def mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), budget: tuple[int,
     kept = [c for c in docs.columns if c not in added]
     sizes = staged(docs.select("source", word_count("text").alias("size"), bucket("doc_id", seed).alias("bucket")),
                    "sizes")
-    plan = staged(mix_plan(sizes, weights, budget, cap), "mix-plan")
+    plan = mix_plan(sizes, weights, budget, cap)
     name = {c: fresh(docs, f"_plan_{c}") for c in plan.columns}
     plan = plan.select(*[F.col(c).alias(n) for c, n in name.items()])
-    at = bucket("doc_id", seed)
-    again = ((at < F.col(name["below"])) | (at == F.col(name["extra"]))).cast("bigint")
+    again = F.get(F.col(name["more"]), bucket("doc_id", seed)).cast("bigint")
     return (docs.select(*[F.col(f"`{c}`") for c in kept])
             .join(plan, F.col("source").eqNullSafe(F.col(name["source"])))
             .select(*[F.col(f"`{c}`") for c in kept], word_count("text").alias("_size"),

@@ -1,7 +1,5 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-import corpus_pipeline
-
 SOURCE_MIX = r"""
 WITH RECURSIVE sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
@@ -32,18 +30,22 @@ wanted AS (
 cells AS (
   SELECT s.source, s.bucket, sum(s.size)::BIGINT AS amount, any_value(w.want) AS want
   FROM sized s JOIN wanted w ON s.source IS NOT DISTINCT FROM w.source WHERE s.size > 0 GROUP BY s.source, s.bucket),
-reached AS (
-  SELECT *, sum(amount) OVER (PARTITION BY source ORDER BY bucket) <= want AS fits,
-         CASE WHEN fits THEN sum(amount) OVER (PARTITION BY source ORDER BY bucket) END AS used FROM cells),
-rests AS (SELECT *, want - coalesce(max(used) OVER (PARTITION BY source), 0) AS rest FROM reached),
-cuts AS (
-  SELECT source, coalesce(min(bucket) FILTER (NOT fits), 4096) AS below,
-         coalesce(arg_min(bucket, (abs(amount - rest), bucket)) FILTER (NOT fits AND abs(amount - rest) < rest), -1) AS extra
-  FROM rests GROUP BY source)
+ordered AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY bucket) AS k FROM cells),
+steps AS (
+  SELECT source, 0::BIGINT AS k, -1 AS bucket, want AS rest, false AS taken, 0::BIGINT AS amount FROM wanted
+  UNION ALL
+  SELECT s.source, o.k, o.bucket, CASE WHEN o.amount <= s.rest THEN s.rest - o.amount ELSE s.rest END, o.amount <= s.rest, o.amount
+  FROM steps s JOIN ordered o ON o.source IS NOT DISTINCT FROM s.source AND o.k = s.k + 1),
+lasts AS (SELECT source, arg_max(rest, k) AS rest FROM steps GROUP BY source),
+extras AS (
+  SELECT s.source, arg_min(s.bucket, (abs(s.amount - l.rest), s.bucket)) AS extra
+  FROM steps s JOIN lasts l ON s.source IS NOT DISTINCT FROM l.source
+  WHERE s.k > 0 AND NOT s.taken AND abs(s.amount - l.rest) < l.rest GROUP BY s.source)
 SELECT s.doc_id, s.size, w.source_size, w.target,
-       (s.size * (w.whole + (s.bucket < coalesce(c.below, 0) OR s.bucket = coalesce(c.extra, -1))::INT))::BIGINT AS taken
+       (s.size * (w.whole + coalesce(t.taken OR s.bucket IS NOT DISTINCT FROM e.extra, false)::INT))::BIGINT AS taken
 FROM sized s JOIN wanted w ON s.source IS NOT DISTINCT FROM w.source
-LEFT JOIN cuts c ON s.source IS NOT DISTINCT FROM c.source
+LEFT JOIN steps t ON s.source IS NOT DISTINCT FROM t.source AND s.bucket = t.bucket
+LEFT JOIN extras e ON s.source IS NOT DISTINCT FROM e.source
 """
 
 NEAR_DUPLICATES = """
@@ -158,5 +160,3 @@ ORACLES = {
     "op8_hamming_topk": HAMMING,
     "op13_conversation_repair": CONVERSATIONS,
 }
-if corpus_pipeline.ORACLE_SQL:
-    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

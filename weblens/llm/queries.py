@@ -5,7 +5,6 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-import corpus_pipeline
 from weblens.llm.common import documents
 from weblens.llm.conversations import audited_conversations
 from weblens.llm.hamming import nearest_codes, sign_codes
@@ -94,4 +93,4 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_near_duplicates, op2_source_mix, op3_quality, op4_simple8b, op5_shards, op6_toxicity, op7_ngram_jaccard,
-    op8_hamming_topk, op9_packing, op10_surrogates, op11_whitening, op12_secret_scan, op13_conversation_repair)} | {"pipeline": corpus_pipeline.run}
+    op8_hamming_topk, op9_packing, op10_surrogates, op11_whitening, op12_secret_scan, op13_conversation_repair)}
