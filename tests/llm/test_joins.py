@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tests.llm.conftest import SF_DIR
 from tests.oracle import compare, connect
 from weblens.llm import ngram_join, oracles, queries
-from weblens.llm.hamming import MultiIndex, nearest_codes, sign_codes
+from weblens.llm.hamming import Piece, Segments, nearest_codes, sign_codes
 from weblens.llm.neardup import near_duplicates
 from weblens.llm.ngram_join import CountTree, Schemes, groups_of, jaccard_components, one_of_each, point_table, points
 
@@ -232,19 +232,42 @@ def test_cosine_brute_force(spark):
     assert near_duplicates(df.filter("vec_id = 900")).collect()[0][:] == (900, 0, 900, True)
 
 
-def test_codes_brute_force(spark):
+def some_codes(n=700, copies=100):
     rng = np.random.default_rng(6)
-    codes = rng.integers(0, 2 ** 63, 700, dtype=np.int64) * 2 + rng.integers(0, 2, 700)
-    codes[600:] = codes[:100] ^ (np.int64(1) << rng.integers(0, 63, 100))
-    ids = rng.permutation(700)
-    index = MultiIndex(codes.view(np.uint64), ids)
-    for q in range(0, 700, 13):
-        d = np.bitwise_count(codes.view(np.uint64) ^ codes.view(np.uint64)[q]).astype(int)
-        want = sorted(zip(d.tolist(), ids.tolist()))[:9]
-        found, distance = index.search(codes.view(np.uint64)[q], 9)
-        assert list(zip(distance.tolist(), found.tolist())) == want
+    codes = rng.integers(0, 2 ** 63, n, dtype=np.int64) * 2 + rng.integers(0, 2, n)
+    codes[n - copies:] = codes[:copies] ^ (np.int64(1) << rng.integers(0, 63, copies))
+    return codes, rng.permutation(n)
+
+
+@pytest.mark.parametrize("count, per_piece", [(50, 97), (700, 97), (700, 5), (60_000, 97), (10 ** 9, 50)])
+def test_pieces_see_every_code_once(count, per_piece):
+    """Over all pieces within reach and all radii, a search returns each code once, with its distance, by growing radius."""
+    codes = some_codes(300, 60)[0].view(np.uint64)
+    segments = Segments(count, per_piece)
+    assert sum(bits for _, bits in segments.at) == 64
+    pieces = {}
+    for s in range(len(segments.at)):
+        places = segments.places(codes, s)
+        for place in np.unique(places):
+            at = np.flatnonzero(places == place)
+            pieces[int(place)] = at, Piece(segments, int(place), codes[at])
+    for q in range(0, 300, 59):
+        distance = np.bitwise_count(codes ^ codes[q]).astype(int)
+        seen = {}
+        for radius in range(segments.deepest + 1):
+            for at, piece in pieces.values():
+                for i, d in zip(*piece.search(codes[q], radius, 64)):
+                    assert int(at[i]) not in seen
+                    seen[int(at[i])] = int(d)
+            assert {i for i in range(300) if distance[i] < len(segments.at) * (radius + 1)} <= set(seen)
+        assert seen == dict(enumerate(distance.tolist()))
+
+
+@pytest.mark.parametrize("per_piece", [13, 16384])
+def test_codes_brute_force(spark, per_piece):
+    codes, ids = some_codes()
     df = spark.createDataFrame([(int(i), int(c)) for i, c in zip(ids, codes)], "vec_id BIGINT, code BIGINT")
-    out = nearest_codes(df, df.filter("vec_id % 20 = 0"), 5, per_block=97, per_query_block=10).collect()
+    out = nearest_codes(df, df.filter("vec_id % 20 = 0"), 5, per_piece).collect()
     assert len(out) == 35 * 5
     by = {}
     for r in out:
@@ -254,8 +277,22 @@ def test_codes_brute_force(spark):
         d = np.bitwise_count(codes.view(np.uint64) ^ codes.view(np.uint64)[place[q]]).astype(int)
         want = sorted(zip(d.tolist(), ids.tolist()))[:5]
         assert sorted(found, key=lambda f: f[2]) == [(a, b, k + 1) for k, (a, b) in enumerate(want)]
+
+
+def test_few_and_equal_codes(spark):
+    """Fewer codes than asked for, none at all, and a code that a third of all rows have."""
+    df = spark.createDataFrame([(i, i // 2 * 1001) for i in range(9)], "vec_id BIGINT, code BIGINT")
     assert nearest_codes(df.limit(0), df, 3).count() == 0 == nearest_codes(df, df.limit(0), 3).count()
     assert nearest_codes(df.limit(2), df.limit(1), 3).count() == 2
+    same = [(i, 7 if i % 3 == 0 else i * 0x9E3779B97F4A7C15 % 2 ** 63) for i in range(300)] + [(0, 7), (None, 7), (9, None)]
+    df = spark.createDataFrame(same, "vec_id BIGINT, code BIGINT").repartition(3)
+    got = {}
+    for r in nearest_codes(df, df.filter("vec_id % 20 = 0"), 4, 20).collect():
+        got.setdefault((r["query_id"], same[r["query_id"]][1]), []).append((r["rank"], r["distance"], r["vec_id"]))
+    for (_, code), found in got.items():
+        want = sorted((bin(code ^ c).count("1"), i) for i, c in same if i is not None and c is not None)[:4]
+        assert sorted(found) == [(k + 1, *w) for k, w in enumerate(want)]
+    assert len(got) == 15
 
 
 def test_codes_odd(spark):
