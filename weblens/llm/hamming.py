@@ -24,6 +24,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from weblens.llm.common import released, staged
 
 CODES = 16384
+RADII = 2  # of a round, which moves the index once
 _U = np.uint64
 
 
@@ -128,9 +129,9 @@ def _places(codes: DataFrame, segments: Segments, radius: int) -> DataFrame:
     return codes.mapInArrow(spread, schema)
 
 
-def _looked_up(index: DataFrame, asked: DataFrame, segments: Segments, radius: int, k: int) -> DataFrame:
+def _looked_up(index: DataFrame, asked: DataFrame, segments: Segments, radii: range, k: int) -> DataFrame:
     """query, code, least, copies, distance: what the pieces of ``index`` (place, salt, code, least, copies) find at
-    ``radius`` for ``asked`` (place, salt, code, bound); of a piece, no more codes than can be among the ``k`` nearest."""
+    ``radii`` for ``asked`` (place, salt, code, bound); of a piece, no more codes than can be among the ``k`` nearest."""
     rows = (index.select("place", "salt", F.lit(0).alias("kind"), "code", "least", "copies")
             .union(asked.select("place", "salt", F.lit(1), "code", F.lit(None).cast("bigint"), "bound")))
     names = ["query", "code", "least", "copies", "distance"]
@@ -157,7 +158,7 @@ def _looked_up(index: DataFrame, asked: DataFrame, segments: Segments, radius: i
                     all_codes, all_least, all_copies = (np.concatenate(c) for c in zip(*held))
                     piece = Piece(segments, int(place[i]), all_codes)
                 for code, bound in zip(codes[i:j].view(_U), copies[i:j]):
-                    at, distances = piece.search(code, radius, bound)
+                    at, distances = (np.concatenate(x) for x in zip(*(piece.search(code, radius, bound) for radius in radii)))
                     if len(at) > k:
                         best = np.lexsort((all_least[at], distances))[:k]
                         at, distances = at[best], distances[best]
@@ -199,10 +200,11 @@ def nearest_codes(codes: DataFrame, queries: DataFrame, k: int, per_piece: int =
     nearest = Window.partitionBy("query").orderBy("distance", "least")
     before = nearest.rowsBetween(Window.unboundedPreceding, -1)
     best = None
-    for radius in range(segments.deepest + 1):
+    for first in range(0, segments.deepest + 1, RADII):
+        radius = first + RADII - 1
         asked = (_places(left, segments, radius).join(parts, F.col("place") == F.col("_place"))
                  .withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1))))
-        found = _looked_up(index, asked, segments, radius, k)
+        found = _looked_up(index, asked, segments, range(first, radius + 1), k)
         found = found if best is None else found.union(best)
         now = staged(found.withColumn("_at", F.row_number().over(nearest)).filter(F.col("_at") <= k)
                      .withColumn("_before", F.coalesce(F.sum("copies").over(before), F.lit(0))).filter(F.col("_before") < wanted)
