@@ -146,8 +146,6 @@ def test_short_texts_need_no_blocks(spark):
     assert time.time() - start < 60
 
 
-@pytest.mark.xfail(reason="the forest round still pairs every tile of the rest with every tile: 962 pairs for 150 members, "
-                          "14,733 for 600, in tiles of 32", strict=False)
 def test_candidates_of_one_group_grow_in_proportion(spark, words, monkeypatch):
     """A group of near copies that all link: rows sent to pieces, and pairs, per member."""
     text, _ = words

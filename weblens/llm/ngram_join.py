@@ -11,8 +11,8 @@ block. A shared passage does not bring documents together, only a shared part do
 
 First every document is paired with the partner of the highest bound in the trees of its tiles, which are linear in
 the size of a block. In blocks in which these pairs, once verified, leave more than one component, the rest meets the
-largest component and itself: first for a forest of pairs that would join them all, then, where that failed, for all
-pairs.
+largest component and itself: first a few tiles each, for a forest of pairs that would join them all, then, where that
+failed, every tile, for all pairs.
 """
 
 from __future__ import annotations
@@ -243,11 +243,13 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
 
 def _candidates(blocks: DataFrame, num: int, per: int, which: str) -> DataFrame:
     """Distinct pairs (a < b) from the R-trees of ``blocks`` (block, id, side, counts, members), each with one
-    ``piece`` of a block, the largest that offers it; which pairs, as for ``block_pairs``, BEST over all blocks.
+    ``piece`` of a block, the largest that offers it; which pairs, as for ``block_pairs``, BEST over all blocks,
+    and of a FOREST one pair, of the highest bound, for two components.
 
     For best partners a block of more than TILE members is cut into tiles by hash, and every tile and its next one are
-    a piece. Otherwise its largest component (``top``, with ``inside`` members) and the rest are cut; every tile of
-    the rest meets every tile of both.
+    a piece. Otherwise its largest component (``top``, with ``inside`` members) and the rest are cut. For a forest a
+    tile of the rest meets one tile of the largest component, and the next one of the rest: pieces in proportion to
+    the block. For ALL every tile of the rest meets every tile of both.
     """
     def tiles(rows: Column) -> Column:
         return F.greatest(F.lit(1), F.ceil(rows / TILE)).cast("int")
@@ -266,9 +268,17 @@ def _candidates(blocks: DataFrame, num: int, per: int, which: str) -> DataFrame:
     else:
         inner, top, rest = F.col("side") == F.col("top"), tiles(F.col("inside")), tiles(F.col("members") - F.col("inside"))
         # Kind 0: a tile of the rest and one of the largest component; kind 1: two of the rest.
-        pieces_of_rest = F.concat(each(top, lambda k: met(0, mine, k)), each(rest, lambda k: met(1, F.least(mine, k), F.greatest(mine, k))))
+        if which == FOREST:
+            after, before = F.pmod(mine + 1, rest), F.pmod(mine - 1, rest)
+            pieces_of_rest = F.array_distinct(F.array(met(0, mine, F.pmod(mine, top)), met(1, mine, after), met(1, before, mine)))
+            # The tiles of the rest that meet tile ``mine`` of the largest component: there may be none.
+            of_inner = F.when(mine < rest, F.transform(F.sequence(mine, rest - 1, top), lambda k: met(0, k, mine)))
+        else:
+            pieces_of_rest = F.concat(each(top, lambda k: met(0, mine, k)),
+                                      each(rest, lambda k: met(1, F.least(mine, k), F.greatest(mine, k))))
+            of_inner = each(rest, lambda k: met(0, k, mine))
         cut = (blocks.withColumn("_mine", F.pmod(spread, F.when(inner, top).otherwise(rest)).cast("int"))
-               .withColumn("_met", F.explode(F.when(inner, each(rest, lambda k: met(0, k, mine))).otherwise(pieces_of_rest)))
+               .withColumn("_met", F.explode(F.when(inner, of_inner).otherwise(pieces_of_rest)))
                .withColumn("piece", F.xxhash64("block", "_met.kind", "_met.one", "_met.other")))
     pieces = cut.select("piece", "id", "side", "counts")
 
@@ -276,11 +286,11 @@ def _candidates(blocks: DataFrame, num: int, per: int, which: str) -> DataFrame:
         rows: list[tuple] = []
 
         def flush() -> pa.RecordBatch:
-            columns = list(zip(*rows)) or [()] * 5
+            columns = list(zip(*rows)) or [()] * 7
             rows.clear()
-            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
+            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
-                                              names=["id", "partner", "bound", "members", "piece"])
+                                              names=["id", "partner", "bound", "one", "other", "members", "piece"])
 
         for run in _runs(batches):
             if sum(r.num_rows for r in run) < 2:
@@ -290,16 +300,22 @@ def _candidates(blocks: DataFrame, num: int, per: int, which: str) -> DataFrame:
                 continue
             encoded = [x for r in run for x in r.column(3).to_pylist()]
             piece = run[0].column(0)[0].as_py()
-            rows += [(*pair, len(ids), piece) for pair in block_pairs(ids, sides, encoded, num, per, which)]
+            side = dict(zip(ids.tolist(), sides.tolist()))
+            rows += [(a, b, bound, side[a], side[b], len(ids), piece)
+                     for a, b, bound in block_pairs(ids, sides, encoded, num, per, which)]
             if len(rows) > 20_000:
                 yield flush()
         yield flush()
 
     pairs = (pieces.repartition("piece").sortWithinPartitions("piece")
-             .mapInArrow(search, "id BIGINT, partner BIGINT, bound DOUBLE, members BIGINT, piece BIGINT"))
+             .mapInArrow(search, "id BIGINT, partner BIGINT, bound DOUBLE, one BIGINT, other BIGINT, members BIGINT, piece BIGINT"))
     if which == BEST:
         pairs = (pairs.groupBy("id").agg(F.max(F.struct("bound", -F.col("partner"), "members", "piece")).alias("m"))
                  .select("id", (-F.col("m.col2")).alias("partner"), "m.members", "m.piece"))
+    if which == FOREST:  # many blocks offer a pair of the same two components
+        pairs = (pairs.groupBy(F.least("one", "other").alias("_one"), F.greatest("one", "other").alias("_other"))
+                 .agg(F.max(F.struct("bound", "id", "partner", "members", "piece")).alias("m"))
+                 .select("m.id", "m.partner", "m.members", "m.piece"))
     return (pairs.groupBy(F.least("id", "partner").alias("a"), F.greatest("id", "partner").alias("b"))
             .agg(F.max(F.struct("members", "piece")).alias("m")).select("a", "b", "m.piece"))
 
