@@ -23,7 +23,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from weblens.llm.common import bounded_batches, staged, with_ids
 from weblens.llm.components import components
@@ -384,17 +384,17 @@ def jaccard_components(docs: DataFrame, size: int = 4, num: int = 85, per: int =
     heads = with_ids(known, spare, keep=False)
     parts = heads.select(F.col("doc_id").alias("id"), F.explode("keys").alias("block")).select("block", "id")
 
-    own = Window.partitionBy("block")
-    digest = F.sum(F.xxhash64("id").cast("decimal(20,0)")).over(own)
-    shared = staged(parts.withColumn("_least", F.min("id").over(own)).withColumn("_most", F.max("id").over(own))
-                    .filter("_least < _most")
-                    .withColumn("members", F.count(F.lit(1)).over(own)).withColumn("_sum", digest)
-                    .withColumn("alike", F.xxhash64("_least", "_most", "members", "_sum"))
-                    .select("block", "id", "members", "alike"), "blocks")
+    # Most parts have one document. Minima and sums are merged before they move, so no task gets a whole block.
+    several = staged(parts.groupBy("block").agg(F.min("id").alias("_least"), F.max("id").alias("_most"))
+                     .filter("_least < _most").select(F.col("block").alias("_block")), "several")
+    shared = staged(parts.join(several, F.col("block") == F.col("_block"), "left_semi"), "blocks")
     # Of blocks with the same members, one is enough.
-    blocks = shared.groupBy("alike").agg(F.min("block").alias("_block"))
+    chosen = staged(shared.groupBy("block").agg(F.min("id").alias("_least"), F.max("id").alias("_most"), F.count(F.lit(1)).alias("members"),
+                                                F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("_sum"))
+                    .groupBy("_least", "_most", "members", "_sum").agg(F.min("block").alias("_block"))
+                    .select("_block", "members"), "chosen")
     counts = heads.select(F.col("doc_id").alias("_of"), "counts")
-    members = staged(shared.join(blocks.select("_block"), F.col("block") == F.col("_block"), "left_semi")
+    members = staged(shared.join(chosen, F.col("block") == F.col("_block"))
                      .join(counts, F.col("id") == F.col("_of"))
                      .select("block", "id", "members", "counts").distinct(), "members")
 
