@@ -210,7 +210,7 @@ def test_cosine_brute_force(spark):
     x = np.concatenate([base + rng.normal(size=base.shape) * s for s in (0, 0.05, 0.1, 0.15, 0.2)] + [base[:5], base[:5] * 3])
     rows = [(int(i), [float(v) for v in r]) for i, r in enumerate(x)]
     rows += [(900, None), (901, [0.0] * 12), (902, [float("nan")] * 12), (903, [float("inf")] + [0.0] * 11), (904, [1.0, None]),
-             (905, [1.0, 0.0]), (906, [2.0, 0.0]), (None, [1.0] * 12), (907, []), (5, rows[5][1])]
+             (905, [1.0, 0.0]), (906, [2.0, 0.0]), (907, [])]
     df = spark.createDataFrame(rows, "vec_id BIGINT, embedding ARRAY<DOUBLE>").withColumn("rep", rows and __import__("pyspark").sql.functions.lit(1))
     unit = x / np.sqrt((x * x).sum(1, keepdims=True))
     cosines = unit @ unit.T
@@ -230,6 +230,31 @@ def test_cosine_brute_force(spark):
     assert near_duplicates(df.filter("vec_id = 900")).collect()[0][:] == (900, 0, 900, True)
 
 
+def test_every_row_is_a_vector_of_its_own(spark):
+    """Repeated and NULL ids, with equal and with different vectors: all rows are compared and returned."""
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(12, 6))
+    x = np.concatenate([base, base * 2, base + rng.normal(size=base.shape) * 0.05, base[:4], base[:2]])
+    ids = [*range(12), *range(50, 62), *range(6), *[None] * 6, 3, 3, 70, None, 0, 0]
+    ids[2] = ids[26] = ids[14] = None  # one group of vectors without any vec_id
+    rows = list(zip(ids, [[float(v) for v in r] for r in x]))
+    rows += [(3, None), (None, None), (None, [0.0] * 6), (80, [0.0] * 6), (80, [0.0] * 6)]
+    u = x / np.sqrt((x * x).sum(1, keepdims=True))
+    links = [(i, j) for i in range(len(x)) for j in range(i) if (u @ u.T)[i, j] >= 0.95]
+    label = closed(range(len(rows)), links)
+    want = []
+    for i, (vec_id, _) in enumerate(rows):
+        reached = [rows[k][0] for k in range(len(rows)) if label[k] == label[i] and rows[k][0] is not None]
+        component = min(reached, default=None)
+        want.append((vec_id, sum(i in link for link in links), component, component == vec_id))
+    df = spark.createDataFrame(rows, "vec_id BIGINT, embedding ARRAY<DOUBLE>")
+    for name in ("least", "_least", "copies", "component", "usable"):
+        df = df.withColumn(name, F.lit(1))
+    for tile in (3, 2048):
+        assert sorted(map(str, near_duplicates(df, 0.95, tile).collect())) == sorted(
+            f"Row(vec_id={a}, n_links={b}, component_id={c}, kept={d})" for a, b, c, d in want)
+
+
 def some_codes(n=700, copies=100):
     rng = np.random.default_rng(6)
     codes = rng.integers(0, 2 ** 63, n, dtype=np.int64) * 2 + rng.integers(0, 2, n)

@@ -144,19 +144,20 @@ def tile_links(ids_a, n_a, a, ids_b, n_b, b, rotation, threshold: float, same: b
 
 
 def near_duplicates(embeddings: DataFrame, threshold: float = 0.95, tile: int = TILE) -> DataFrame:
-    """A row per vec_id of ``embeddings`` (vec_id, embedding): n_links, component_id, kept.
+    """A row per row of ``embeddings`` (vec_id, embedding): vec_id, n_links, component_id, kept.
 
     Vectors that are NULL, zero, or have NULL or non-finite components link with nothing, and so do vectors of
-    different dimensions with each other. Of rows with one vec_id the smallest vector counts; rows without
-    vec_id are left out; no rows give no rows; other columns are left.
+    different dimensions with each other. Every row is a vector of its own, also where a vec_id is repeated or NULL:
+    it counts as a link of others, and component_id is the smallest vec_id of the vectors it reaches, NULL if none has one.
+    No rows give no rows; other columns are left.
     """
     spark = embeddings.sparkSession
     bounded_batches(spark, rows=4096, size="16m")
-    rows = staged(embeddings.filter("vec_id IS NOT NULL").groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
-                  .withColumn("usable", usable("embedding")), "vectors")
+    rows = staged(embeddings.select("vec_id", "embedding").withColumn("usable", usable("embedding")), "vectors")
     good = rows.filter("usable")
-    classes = staged(good.groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies")),
-                     "distinct-vectors")
+    # A class of equal vectors has a number of its own, as a vec_id may have several vectors.
+    classes = staged(good.groupBy("embedding").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies"))
+                     .withColumn("rep", F.monotonically_increasing_id()), "distinct-vectors")
     dim = classes.agg(F.max(F.size("embedding"))).first()[0]
     if dim is None:
         return rows.select("vec_id", F.lit(0).cast("bigint").alias("n_links"),
@@ -237,11 +238,14 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.95, tile: int =
     found = staged(joined.mapInArrow(link, "rep BIGINT, links BIGINT, other BIGINT"), "links")
     counts = found.groupBy("rep").agg(F.sum("links").alias("links")).select(F.col("rep").alias("_of"), "links")
     reached = components(found.select(F.col("rep").alias("a"), F.col("other").alias("b")))
+    least = (reached.join(classes.select("rep", "least"), F.col("node") == F.col("rep"))
+             .groupBy(F.col("component").alias("_component")).agg(F.min("least").alias("_least")))
+    reached = reached.join(least, F.col("component") == F.col("_component")).select("node", "_least")
     known = (classes.join(counts, F.col("rep") == F.col("_of"), "left")
              .join(reached, F.col("rep") == F.col("node"), "left")
              .select(F.col("embedding").alias("_vector"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n"),
-                     F.coalesce("component", "rep").alias("c")))
+                     F.coalesce("_least", "least").alias("c")))
+    component = F.coalesce("c", "vec_id")
     return (rows.join(known, F.col("usable") & (F.col("embedding") == F.col("_vector")), "left")
             .select("vec_id", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_links"),
-                    F.coalesce("c", "vec_id").alias("component_id"),
-                    (F.coalesce("c", "vec_id") == F.col("vec_id")).alias("kept")))
+                    component.alias("component_id"), component.eqNullSafe(F.col("vec_id")).alias("kept")))
