@@ -322,3 +322,60 @@ def test_codes_odd(spark):
     rows = [(1, [1.0, -1.0, None, float("nan")]), (2, None), (None, [1.0]), (3, []), (4, [0.0] * 64 + [1.0]), (5, [1.0] * 64)]
     out = {r[0]: r[1] for r in sign_codes(spark.createDataFrame(rows, "vec_id BIGINT, embedding ARRAY<FLOAT>")).collect()}
     assert out == {1: 1, 3: 0, 4: 1, 5: -1}
+
+
+def near_copies(words, n, edits=6):
+    """Texts of one group that share many blocks; most link."""
+    text, _ = words
+    base, rng = text(200).split(), random.Random(n)
+
+    def changed():
+        copy = list(base)
+        for at in rng.sample(range(200), edits):
+            copy[at] = f"new{rng.random()}"
+        return " ".join(copy)
+    return [(i, changed()) for i in range(n)]
+
+
+def test_a_pair_is_offered_by_few_blocks(spark, words, monkeypatch):
+    """Rows that the search makes for one group of near copies: a few per member, however many blocks it shares."""
+    made, run = [], ngram_join.staged
+
+    def counted(df, label):
+        out = run(df, label)
+        if label == "offers":
+            made.append(out.count())
+        return out
+    monkeypatch.setattr(ngram_join, "staged", counted)
+    search = type(spark.range(1)).mapInArrow
+
+    def kept(df, task, schema, *more, **rest):
+        out = search(df, task, schema, *more, **rest)
+        return counted(out, "offers") if "bound DOUBLE" in str(schema) else out
+    monkeypatch.setattr(type(spark.range(1)), "mapInArrow", kept)
+    rows = near_copies(words, 120)
+    s = [brute_set(t) for _, t in rows]
+    label = closed(range(120), [(i, j) for i in range(120) for j in range(i) if 100 * len(s[i] & s[j]) >= 80 * len(s[i] | s[j])])
+    out = jaccard_components(spark.createDataFrame(rows, "doc_id BIGINT, text STRING"), 4, 80, 100)
+    assert {r["doc_id"]: r["component_id"] for r in out.collect()} == label
+    assert len(made) == 3 and made[0] <= 4 * 120
+
+
+def test_later_rounds_take_up_only_what_had_a_partner(spark, words, monkeypatch):
+    """Texts that share parts and no more are searched once, not in every round."""
+    seen, search = [], ngram_join._candidates
+
+    def counted(blocks, num, per, which):
+        seen.append(blocks.count())
+        return search(blocks, num, per, which)
+    monkeypatch.setattr(ngram_join, "_candidates", counted)
+    text, edited = words
+    rng = random.Random(3)
+    passages = [text(6) for _ in range(4)]
+    rows = [" ".join([text(12), rng.choice(passages), text(12)]) for _ in range(150)]
+    rows += [edited(t, 0.03) for t in rows[:20]]
+    rows = list(enumerate(rows))
+    component, _ = brute(rows, 4, 85, 100)
+    got = jaccard_components(spark.createDataFrame(rows, "doc_id BIGINT, text STRING")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == component
+    assert seen[0] > 300 and seen[1] < seen[0] / 3 and seen[2] <= seen[1]

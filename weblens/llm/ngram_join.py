@@ -12,7 +12,8 @@ block. A shared passage does not bring documents together, only a shared part do
 First every document is paired with the partner of the highest bound in the trees of its tiles, which are linear in
 the size of a block. In blocks in which these pairs, once verified, leave more than one component, the rest meets the
 largest component and itself: first a few tiles each, for a forest of pairs that would join them all, then, where that
-failed, every tile, for all pairs.
+failed, every tile, for all pairs. Where a round searched a block as a whole, the next one takes up only what had a
+partner. A pair is offered by the first block it shares, not by every one.
 """
 
 from __future__ import annotations
@@ -25,13 +26,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from weblens.llm.common import bounded_batches, staged, with_ids
+from weblens.llm.common import bounded_batches, small_enough, staged, with_ids
 from weblens.llm.components import components
 from weblens.llm.wordhash import mix, set_digest, shingle_sets, text_slices
 
 GROUPS = (64, 4096)  # the fewest and the most groups, powers of two
 FANOUT = 16
 TILE = 512
+FIRST = 16  # blocks of a document by which pairs known from an earlier block are told
 RANGE = 1.35  # sizes of one scheme: from low to below low * RANGE
 _U = np.uint64
 
@@ -165,23 +167,45 @@ class CountTree:
 BEST, FOREST, ALL = "best", "forest", "all"
 
 
-def block_pairs(ids: np.ndarray, sides: np.ndarray, encoded: list[bytes], num: int, per: int, which: str) -> list[tuple[int, int, float]]:
-    """(row id, partner id, bound on the similarity) of pairs from different ``sides`` of a block, from its R-tree.
+class Earlier:
+    """Which rows of a block have met in an earlier one, by the first blocks of each."""
+
+    def __init__(self, earlier: list[list[int]]):
+        sizes = [len(e) for e in earlier]
+        blocks, codes = np.unique(np.array([b for e in earlier for b in e], dtype=np.int64), return_inverse=True)
+        self.table = np.zeros((len(earlier), max(sizes, default=0)), dtype=np.int64)  # 0: none
+        self.table[np.arange(self.table.shape[1]) < np.array(sizes)[:, None]] = codes + 1
+        self.marked = np.zeros(len(blocks) + 1, dtype=bool)
+
+    def met(self, row: int, others: np.ndarray) -> np.ndarray:
+        self.marked[self.table[row]] = True
+        self.marked[0] = False
+        found = self.marked[self.table[others]].any(axis=1)
+        self.marked[self.table[row]] = False
+        return found
+
+
+def block_pairs(ids: np.ndarray, sides: np.ndarray, encoded: list[bytes], earlier: list[list[int]], num: int, per: int,
+                which: str) -> list[tuple[int, int, float]]:
+    """(row id, partner id, bound on the similarity) of pairs from different ``sides`` of a block, from its R-tree,
+    without those that share an ``earlier`` block.
 
     BEST: for each row the partner with the highest bound, the smallest of equals. FOREST: the pairs of highest bounds
     that join the sides, none that closes a circle. ALL: all partners with a smaller id."""
-    tree = CountTree(*point_table(encoded), num, per)
+    tree, before = CountTree(*point_table(encoded), num, per), Earlier(earlier)
     out: list[tuple[int, int, float]] = []
     for row in range(len(ids)):
         found, bound = tree.search(row)
-        other = (sides[found] != sides[row]) & (ids[found] != ids[row])
-        if which == BEST:
-            if other.any():
-                k = np.lexsort((ids[found[other]], -bound[other]))[0]
-                out.append((int(ids[row]), int(ids[found[other][k]]), float(bound[other][k])))
-        else:
-            other &= ids[found] < ids[row]
-            out += [(int(ids[row]), int(i), float(x)) for i, x in zip(ids[found[other]], bound[other])]
+        other = (sides[found] != sides[row]) & ((ids[found] != ids[row]) if which == BEST else (ids[found] < ids[row]))
+        if not other.any():
+            continue
+        other[other] = ~before.met(row, found[other])
+        found, bound = found[other], bound[other]
+        if which != BEST:
+            out += [(int(ids[row]), int(i), float(x)) for i, x in zip(ids[found], bound)]
+        elif len(found):
+            k = np.lexsort((ids[found], -bound))[0]
+            out.append((int(ids[row]), int(ids[found[k]]), float(bound[k])))
     if which != FOREST:
         return out
     side = dict(zip(ids.tolist(), sides.tolist()))
@@ -242,14 +266,14 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
 
 
 def _candidates(blocks: DataFrame, num: int, per: int, which: str) -> DataFrame:
-    """Distinct pairs (a < b) from the R-trees of ``blocks`` (block, id, side, counts, members), each with one
+    """Distinct pairs (a < b) from the R-trees of ``blocks`` (block, id, side, counts, earlier, members), each with one
     ``piece`` of a block, the largest that offers it; which pairs, as for ``block_pairs``, BEST over all blocks,
-    and of a FOREST one pair, of the highest bound, for two components.
+    and of a FOREST one pair, of the highest bound, for two components. ``earlier`` are blocks of the id before this one.
 
     For best partners a block of more than TILE members is cut into tiles by hash, and every tile and its next one are
     a piece. Otherwise its largest component (``top``, with ``inside`` members) and the rest are cut. For a forest a
     tile of the rest meets one tile of the largest component, and the next one of the rest: pieces in proportion to
-    the block. For ALL every tile of the rest meets every tile of both.
+    the block. For ALL every tile of the rest meets every tile of both. A tile meets itself in any of its pieces.
     """
     def tiles(rows: Column) -> Column:
         return F.greatest(F.lit(1), F.ceil(rows / TILE)).cast("int")
@@ -268,19 +292,22 @@ def _candidates(blocks: DataFrame, num: int, per: int, which: str) -> DataFrame:
     else:
         inner, top, rest = F.col("side") == F.col("top"), tiles(F.col("inside")), tiles(F.col("members") - F.col("inside"))
         # Kind 0: a tile of the rest and one of the largest component; kind 1: two of the rest.
+        def of_rest(k: Column) -> Column:
+            return met(1, F.least(mine, k), F.greatest(mine, k))
+
         if which == FOREST:
-            after, before = F.pmod(mine + 1, rest), F.pmod(mine - 1, rest)
-            pieces_of_rest = F.array_distinct(F.array(met(0, mine, F.pmod(mine, top)), met(1, mine, after), met(1, before, mine)))
+            pieces_of_rest = F.array_distinct(F.array(met(0, mine, F.pmod(mine, top)), of_rest(F.pmod(mine + 1, rest)),
+                                                      of_rest(F.pmod(mine - 1, rest))))
             # The tiles of the rest that meet tile ``mine`` of the largest component: there may be none.
             of_inner = F.when(mine < rest, F.transform(F.sequence(mine, rest - 1, top), lambda k: met(0, k, mine)))
         else:
-            pieces_of_rest = F.concat(each(top, lambda k: met(0, mine, k)),
-                                      each(rest, lambda k: met(1, F.least(mine, k), F.greatest(mine, k))))
+            pieces_of_rest = F.concat(each(top, lambda k: met(0, mine, k)), each(rest, of_rest))
             of_inner = each(rest, lambda k: met(0, k, mine))
+        pieces_of_rest = F.filter(pieces_of_rest, lambda p: (p["kind"] == 0) | (p["one"] < p["other"]))
         cut = (blocks.withColumn("_mine", F.pmod(spread, F.when(inner, top).otherwise(rest)).cast("int"))
                .withColumn("_met", F.explode(F.when(inner, of_inner).otherwise(pieces_of_rest)))
                .withColumn("piece", F.xxhash64("block", "_met.kind", "_met.one", "_met.other")))
-    pieces = cut.select("piece", "id", "side", "counts")
+    pieces = cut.select("piece", "id", "side", "counts", "earlier")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
@@ -298,11 +325,11 @@ def _candidates(blocks: DataFrame, num: int, per: int, which: str) -> DataFrame:
             ids, sides = (np.concatenate([np.asarray(r.column(k)) for r in run]) for k in (1, 2))
             if (sides == sides[0]).all():
                 continue
-            encoded = [x for r in run for x in r.column(3).to_pylist()]
+            encoded, earlier = ([x for r in run for x in r.column(k).to_pylist()] for k in (3, 4))
             piece = run[0].column(0)[0].as_py()
             side = dict(zip(ids.tolist(), sides.tolist()))
             rows += [(a, b, bound, side[a], side[b], len(ids), piece)
-                     for a, b, bound in block_pairs(ids, sides, encoded, num, per, which)]
+                     for a, b, bound in block_pairs(ids, sides, encoded, earlier, num, per, which)]
             if len(rows) > 20_000:
                 yield flush()
         yield flush()
@@ -320,6 +347,13 @@ def _candidates(blocks: DataFrame, num: int, per: int, which: str) -> DataFrame:
             .agg(F.max(F.struct("members", "piece")).alias("m")).select("a", "b", "m.piece"))
 
 
+def _unsettled(rows: DataFrame, near: DataFrame) -> DataFrame:
+    """The ``rows`` of blocks that were not searched as a ``whole``, and of the others those whose side is among ``near``."""
+    if small_enough(near):
+        near = F.broadcast(near)
+    return rows.join(near, F.col("side") == F.col("near"), "left").filter("NOT whole OR near IS NOT NULL").drop("near")
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, size: int, num: int, per: int) -> DataFrame:
     """The pairs (a, b, piece) whose sets, made again from the whole texts, are linked.
 
@@ -394,23 +428,37 @@ def jaccard_components(docs: DataFrame, size: int = 4, num: int = 85, per: int =
                     .groupBy("_least", "_most", "members", "_sum").agg(F.min("block").alias("_block"))
                     .select("_block", "members"), "chosen")
     counts = heads.select(F.col("doc_id").alias("_of"), "counts")
+    # Every row has the first blocks of its id, as far as they come before its own. The first block that two documents
+    # share knows of no earlier one, so it offers the pair.
     members = staged(shared.join(chosen, F.col("block") == F.col("_block"))
-                     .join(counts, F.col("id") == F.col("_of"))
-                     .select("block", "id", "members", "counts").distinct(), "members")
+                     .groupBy("id").agg(F.sort_array(F.collect_set(F.struct("block", "members"))).alias("_in"))
+                     .join(counts, F.col("id") == F.col("_of")).select("id", "counts", "_in").distinct()
+                     .select("id", "counts", F.slice("_in.block", 1, FIRST).alias("_first"), F.explode("_in").alias("_at"))
+                     .select("_at.block", "id", "_at.members", "counts",
+                             F.filter("_first", lambda b: b < F.col("_at.block")).alias("earlier")), "members")
 
     # A verified pair per document first, with its best partner; then pairs that would join what is still apart in a
     # piece; at last all pairs between what even those have left apart. So a dense group costs a few comparisons
-    # a member.
-    found = staged(_candidates(members.withColumn("side", F.col("id")), num, per, BEST), "pairs")
+    # a member. A block of one piece is searched as a whole: sides without any partner then have none in it.
+    apart = members.withColumn("side", F.col("id")).withColumn("whole", F.col("members") <= TILE)
+    found = staged(_candidates(apart, num, per, BEST), "pairs")
     links = staged(_verified(found, docs, size, num, per), "links")
+    joined = None
     for which in (FOREST, ALL):
+        near = found.select(F.explode(F.array("a", "b")).alias("near"))
+        if joined is not None:  # sides are components
+            near = (near.distinct().join(joined, F.col("near") == F.col("node"), "left")
+                    .select(F.coalesce("component", "near").alias("near")))
+        left = _unsettled(apart, staged(near.distinct(), "near"))
         joined = components(links)
-        sided = staged(members.join(joined, F.col("id") == F.col("node"), "left")
-                       .select("block", "id", "members", "counts", F.coalesce("component", "id").alias("side")), "sides")
+        sided = staged(left.join(joined, F.col("id") == F.col("node"), "left")
+                       .select("block", "id", "counts", "earlier", F.coalesce("component", "id").alias("side")), "sides")
         tops = (sided.groupBy("block", "side").agg(F.count(F.lit(1)).alias("_n"))
-                .groupBy("block").agg(F.max(F.struct("_n", "side")).alias("_top"), F.count(F.lit(1)).alias("_sides")).filter("_sides > 1")
-                .select(F.col("block").alias("_block"), F.col("_top.side").alias("top"), F.col("_top._n").alias("inside")))
-        apart = sided.join(tops, F.col("block") == F.col("_block")).drop("_block")
+                .groupBy("block").agg(F.max(F.struct("_n", "side")).alias("_top"), F.count(F.lit(1)).alias("_sides"),
+                                      F.sum("_n").alias("members")).filter("_sides > 1")
+                .select(F.col("block").alias("_block"), "members", F.col("_top.side").alias("top"), F.col("_top._n").alias("inside")))
+        apart = (sided.join(tops, F.col("block") == F.col("_block")).drop("_block")
+                 .withColumn("whole", F.greatest("inside", F.col("members") - F.col("inside")) <= TILE))
         found = staged(_candidates(apart, num, per, which), "pairs")
         links = links.union(staged(_verified(found, docs, size, num, per), "links"))
     # Copies of a set, and sets of one doc_id, are linked as well.
