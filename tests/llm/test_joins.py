@@ -379,3 +379,13 @@ def test_later_rounds_take_up_only_what_had_a_partner(spark, words, monkeypatch)
     got = jaccard_components(spark.createDataFrame(rows, "doc_id BIGINT, text STRING")).collect()
     assert {r["doc_id"]: r["component_id"] for r in got} == component
     assert seen[0] > 300 and seen[1] < seen[0] / 3 and seen[2] <= seen[1]
+
+
+def test_search_of_all_rows_is_the_search_of_each():
+    rng = np.random.default_rng(5)
+    for n in (2, 16, 17, 90):
+        counts = np.repeat(rng.poisson(2, (-(-n // 3), 64)), 3, axis=0)[:n].astype(np.int32)
+        counts += (rng.random(counts.shape) < 0.03).astype(np.int32)
+        tree = CountTree(counts, counts.sum(1) + rng.integers(0, 3, n), 85, 100)
+        every = {row: dict(zip(found.tolist(), bound.tolist())) for row, found, bound in tree.search_all()}
+        assert every and all(every.get(row, {row: 1.0}) == dict(zip(*(x.tolist() for x in tree.search(row)))) for row in range(n))

@@ -122,6 +122,9 @@ def points(hashes: np.ndarray) -> bytes:
 def point_table(encoded: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(counts in as many groups as the set with the fewest has, sizes). Groups of half as many are sums of two."""
     groups = min(len(e) for e in encoded) - 8
+    if all(len(e) == groups + 8 for e in encoded):
+        table = np.frombuffer(b"".join(encoded), np.uint8).reshape(len(encoded), -1)
+        return table[:, 8:].astype(np.int32), table[:, :8].copy().view(np.int64)[:, 0]
     counts = np.zeros((len(encoded), groups), dtype=np.int32)
     for row, e in enumerate(encoded):
         counts[row] = np.frombuffer(e, np.uint8, offset=8).reshape(groups, -1).sum(axis=1)
@@ -134,8 +137,10 @@ class CountTree:
     def __init__(self, counts: np.ndarray, totals: np.ndarray, num: int, per: int):
         self.counts, self.totals, self.num, self.per = counts, totals, num, per
         self.spare = totals - counts.sum(axis=1, dtype=np.int64)  # what the bytes of the counts could not hold
-        wide = np.argsort(-counts.var(axis=0), kind="stable")[:2]
-        order = np.lexsort((counts[:, wide[1]], counts[:, wide[0]], (self.totals / max(1, FANOUT)).astype(np.int64)))
+        order = np.arange(len(totals))
+        if len(totals) > FANOUT:
+            wide = np.argsort(-counts.var(axis=0), kind="stable")[:2]
+            order = np.lexsort((counts[:, wide[1]], counts[:, wide[0]], (self.totals / max(1, FANOUT)).astype(np.int64)))
         self.levels = [(order, counts[order], self.totals[order], self.totals[order], self.spare[order])]
         while len(self.levels[-1][0]) > FANOUT:
             _, high, least, most, spare = self.levels[-1]
@@ -163,6 +168,22 @@ class CountTree:
         totals = self.levels[0][2][at]
         return self.levels[0][0][at], bound / np.maximum(1, total + totals - bound)
 
+    def search_all(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(row, what ``search`` finds for it) of the rows that find another; a tree of one box is read once for all."""
+        if len(self.levels) > 1:
+            for row in range(len(self.totals)):
+                found, bound = self.search(row)
+                if len(found) > 1:
+                    yield row, found, bound
+            return
+        mine, theirs = self.totals[:, None], self.totals
+        bound = np.minimum(self.counts[:, None], self.counts).sum(axis=2, dtype=np.int64) + np.minimum(self.spare[:, None], self.spare)
+        may = ((theirs * self.num <= mine * self.per) & (theirs * self.per >= mine * self.num)
+               & ((self.num + self.per) * bound >= self.num * (mine + theirs)))
+        for row in np.flatnonzero(may.sum(axis=1) > 1):
+            found = np.flatnonzero(may[row])
+            yield int(row), found, bound[row, found] / np.maximum(1, self.totals[row] + theirs[found] - bound[row, found])
+
 
 BEST, FOREST, ALL = "best", "forest", "all"
 
@@ -170,11 +191,11 @@ BEST, FOREST, ALL = "best", "forest", "all"
 class Earlier:
     """Which rows of a block have met in an earlier one, by the first blocks of each."""
 
-    def __init__(self, earlier: list[list[int]]):
-        sizes = [len(e) for e in earlier]
-        blocks, codes = np.unique(np.array([b for e in earlier for b in e], dtype=np.int64), return_inverse=True)
-        self.table = np.zeros((len(earlier), max(sizes, default=0)), dtype=np.int64)  # 0: none
-        self.table[np.arange(self.table.shape[1]) < np.array(sizes)[:, None]] = codes + 1
+    def __init__(self, earlier: pa.ListArray):
+        sizes = np.asarray(earlier.value_lengths())
+        blocks, codes = np.unique(np.asarray(earlier.flatten()), return_inverse=True)
+        self.table = np.zeros((len(sizes), sizes.max(initial=0)), dtype=np.int64)  # 0: none
+        self.table[np.arange(self.table.shape[1]) < sizes[:, None]] = codes + 1
         self.marked = np.zeros(len(blocks) + 1, dtype=bool)
 
     def met(self, row: int, others: np.ndarray) -> np.ndarray:
@@ -185,20 +206,20 @@ class Earlier:
         return found
 
 
-def block_pairs(ids: np.ndarray, sides: np.ndarray, encoded: list[bytes], earlier: list[list[int]], num: int, per: int,
+def block_pairs(ids: np.ndarray, sides: np.ndarray, encoded: list[bytes], earlier: pa.ListArray, num: int, per: int,
                 which: str) -> list[tuple[int, int, float]]:
     """(row id, partner id, bound on the similarity) of pairs from different ``sides`` of a block, from its R-tree,
     without those that share an ``earlier`` block.
 
     BEST: for each row the partner with the highest bound, the smallest of equals. FOREST: the pairs of highest bounds
     that join the sides, none that closes a circle. ALL: all partners with a smaller id."""
-    tree, before = CountTree(*point_table(encoded), num, per), Earlier(earlier)
+    tree, before = CountTree(*point_table(encoded), num, per), None
     out: list[tuple[int, int, float]] = []
-    for row in range(len(ids)):
-        found, bound = tree.search(row)
+    for row, found, bound in tree.search_all():
         other = (sides[found] != sides[row]) & ((ids[found] != ids[row]) if which == BEST else (ids[found] < ids[row]))
         if not other.any():
             continue
+        before = before or Earlier(earlier)
         other[other] = ~before.met(row, found[other])
         found, bound = found[other], bound[other]
         if which != BEST:
@@ -325,7 +346,7 @@ def _candidates(blocks: DataFrame, num: int, per: int, which: str) -> DataFrame:
             ids, sides = (np.concatenate([np.asarray(r.column(k)) for r in run]) for k in (1, 2))
             if (sides == sides[0]).all():
                 continue
-            encoded, earlier = ([x for r in run for x in r.column(k).to_pylist()] for k in (3, 4))
+            encoded, earlier = [x for r in run for x in r.column(3).to_pylist()], pa.concat_arrays([r.column(4) for r in run])
             piece = run[0].column(0)[0].as_py()
             side = dict(zip(ids.tolist(), sides.tolist()))
             rows += [(a, b, bound, side[a], side[b], len(ids), piece)
